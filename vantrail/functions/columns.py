@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vantrail.schema import CELLS_PER_DEGREE, EMERGENCY_SQUAWKS, POSITION_SOURCES, VERTICAL_RATE_LIMIT_MS
 
@@ -10,6 +10,16 @@ _BLANKS = " \t\n\r\f\x0b"
 _RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{1,2}:\d{2}:\d{2}([.,]\d+)?(Z|[+-]\d{2}:\d{2})\z"
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that later steps refer to instead of repeating them.
+
+    Spark merges projections, so a costly expression that is used in many places
+    is copied into each and plans grow without bound when this nests. A generator
+    over one row is not merged.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def parse_rfc3339(text: Column) -> Column:
     """Timestamp of an RFC 3339 text with an offset; null when it is not one.
 

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from vantrail.functions import parse_rfc3339
+from vantrail.functions import computed_once, parse_rfc3339
 from vantrail.schema import (
     ICAO24_PATTERN,
     MAX_FUTURE_HOURS,
@@ -88,7 +88,7 @@ def first_failure(get: Getter, as_of: datetime) -> tuple[Column, Column]:
 def check(df: DataFrame, as_of: datetime) -> DataFrame:
     """Adds ``rule`` and ``error`` to flat event requests."""
     rule, message = first_failure(F.col, as_of)
-    return df.withColumn("rule", rule).withColumn("error", message)
+    return computed_once(df, rule=rule, error=message)
 
 
 def validate(df: DataFrame, as_of: datetime) -> tuple[DataFrame, DataFrame]:
@@ -133,10 +133,11 @@ def ingest_report(bodies: DataFrame, as_of: datetime, events: str = "events", bo
             index.cast("int").alias("index"), event["event_id"].alias("event_id"), message.alias("error")
         )
 
-    checked = bodies.withColumn("_checked", F.transform(events, one))
+    checked = computed_once(bodies, _checked=F.transform(events, one))
     bad = F.filter("_checked", lambda e: e["error"].isNotNull())
+    none = F.array().cast("array<struct<index:int,event_id:string,error:string>>")
     counted = (
-        checked.withColumn("errors", F.coalesce(bad, F.array().cast("array<struct<index:int,event_id:string,error:string>>")))
+        computed_once(checked, errors=F.coalesce(bad, none))
         .withColumn("rejected", F.size("errors"))
         .withColumn("accepted", F.coalesce(F.size("_checked"), F.lit(0)) - F.col("rejected"))
         .drop("_checked")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from vantrail.functions import computed_once
 from vantrail.schema import EVENT_REQUEST
 
 # --- Fixed values: body errors ------------------------------------------------
@@ -54,40 +55,32 @@ def parse_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     the JSON value is an error too.
     """
     text = F.col(body)
-    head = F.regexp_extract(text, _LEADING + r"([\s\S])", 1)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    shaped = (
-        df.withColumn("_head", head)
-        .withColumn("_one", F.try_variant_get(wrapped, "$", "array<variant>"))
-        .withColumn("_value", F.when(F.size("_one") == 1, F.get("_one", F.lit(0))))
-        .withColumn("_inner", F.try_variant_get("_value", "$.events", "variant"))
-        .withColumn("_is_list", F.col("_head") == "[")
-        .withColumn("_is_wrapper", F.coalesce((F.col("_head") == "{") & F.col("_inner").isNotNull(), F.lit(False)))
+    in_brackets = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    read = computed_once(
+        df,
+        _head=F.regexp_extract(text, _LEADING + r"([\s\S])", 1),
+        _values=F.try_variant_get(in_brackets, "$", "array<variant>"),
     )
+    value = F.when(F.size("_values") == 1, F.get("_values", F.lit(0)))
+    valued = computed_once(read, _value=value, _inner=F.try_variant_get(value, "$.events", "variant"))
+    is_list = F.col("_head") == "["
+    is_wrapper = (F.col("_head") == "{") & F.col("_inner").isNotNull()
     elements = (
-        F.when(F.col("_is_list"), F.try_variant_get("_value", "$", "array<variant>"))
-        .when(
-            F.col("_is_wrapper"),
-            F.when(F.is_variant_null("_inner"), F.array().cast("array<variant>")).otherwise(
-                F.try_variant_get("_inner", "$", "array<variant>")
-            ),
-        )
+        F.when(is_list, F.try_variant_get("_value", "$", "array<variant>"))
+        .when(is_wrapper & F.is_variant_null("_inner"), F.array().cast("array<variant>"))
+        .when(is_wrapper, F.try_variant_get("_inner", "$", "array<variant>"))
         .when(F.col("_value").isNotNull(), F.array("_value"))
     )
-    listed = shaped.withColumn("_elements", elements)
-    unreadable = F.col("_elements").isNull() | F.exists("_elements", _malformed)
+    listed = computed_once(valued, _elements=elements)
+    unreadable = F.coalesce(F.exists("_elements", _malformed), F.lit(True))
     error = (
         F.when(text.isNull() | (F.col("_head") == ""), EMPTY_BODY)
         .when(~F.col("_head").isin("[", "{"), NOT_A_CONTAINER)
-        .when(unreadable & F.col("_is_list"), BAD_ARRAY)
-        .when(unreadable & F.col("_is_wrapper"), BAD_EVENTS)
-        .when(unreadable, BAD_OBJECT)
-    )
-    return (
-        listed.withColumn("body_error", error)
-        .withColumn("events", F.when(F.col("body_error").isNull(), F.transform("_elements", _typed)))
-        .drop("_head", "_one", "_value", "_inner", "_is_list", "_is_wrapper", "_elements")
+        .when(unreadable, F.when(is_list, BAD_ARRAY).when(is_wrapper, BAD_EVENTS).otherwise(BAD_OBJECT))
     )
+    judged = computed_once(listed, body_error=error)
+    events = F.when(F.col("body_error").isNull(), F.transform("_elements", _typed))
+    return computed_once(judged, events=events).drop("_head", "_values", "_value", "_inner", "_elements")
 
 
 def explode_payloads(df: DataFrame, body: str = "body") -> tuple[DataFrame, DataFrame]:
