@@ -66,13 +66,13 @@ add(
 
 def staged_topic(c: Case) -> DataFrame:
     """The telemetry as topic rows; arrival order is the offset."""
-    return wire.encode_topic(c.telemetry, 7, "seq", "observed_at").select(
+    return wire.encode_topic(c.telemetry.withColumn("sent_at", C("observed_at")), 7, "seq", "sent_at").select(
         "key",
         "value",
         F.lit("telemetry").alias("topic"),
         F.pmod(F.hash("key"), F.lit(3)).alias("partition"),
         C("seq").alias("offset"),
-        C("observed_at").alias("timestamp"),
+        C("sent_at").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
 
@@ -217,7 +217,7 @@ add("t6_replay_from_start", replayed_group, f"SELECT {SEEN} FROM raw")
 
 def late_rows(c: Case) -> DataFrame:
     """Rows far behind the newest observation, reversed in arrival."""
-    late = c.feed.withColumn("seq", F.when(C("seq") % 3 == 0, C("seq") + 100_000_000).otherwise(C("seq")))
+    late = c.feed.withColumn("seq", F.when(C("seq") % 3 == 0, C("seq") + 10**15).otherwise(C("seq")))
     return rollup_final(c, run(c, {"operational": lambda root: sinks.operational_sink(root, rollups=("country",))}, late))
 
 
@@ -226,7 +226,7 @@ def rollup_final(c: Case, root: str) -> DataFrame:
 
 
 LATE_RAW = (
-    f"(SELECT * FROM (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN seq + 100000000 ELSE seq END AS seq) FROM feed) "
+    f"(SELECT * FROM (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN seq + 1000000000000000 ELSE seq END AS seq) FROM feed) "
     "QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY seq) = 1)"
 )
 add("t7_late_data", late_rows, country_hour(LATE_RAW))

@@ -26,5 +26,10 @@ def replay(
         start = low + k * width
         arrivals.filter((F.col(seq) >= start) & (F.col(seq) < start + width)).write.mode("append").parquet(landing)
         stream = spark.readStream.schema(arrivals.schema).parquet(landing)
-        for query in begin(stream):
-            query.awaitTermination()
+        queries = begin(stream)
+        try:
+            for query in queries:
+                query.awaitTermination()
+        finally:
+            for query in queries:
+                query.stop()

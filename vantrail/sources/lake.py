@@ -58,8 +58,8 @@ def lake_sql(spark: SparkSession, lake: DataFrame, sql: str, limit: int = 10_000
 
 
 def write_events_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One compact JSON object per line; null fields are left out."""
-    df.write.mode(mode).option("ignoreNullFields", "true").json(path)
+    """One compact JSON object per line; null fields are left out, times keep microseconds."""
+    df.write.mode(mode).json(path, ignoreNullFields=True, timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
 
 
 def evolve_to(df: DataFrame, schema: StructType, defaults: dict | None = None) -> DataFrame:

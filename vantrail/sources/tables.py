@@ -8,7 +8,7 @@ add rows twice, and a replay under a new group cannot overwrite another's.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.types import StructType
 
 from vantrail.operators.dedupe import dedupe_first
@@ -30,7 +30,7 @@ def place(path: str, group: str, batch_id: int) -> str:
 
 
 def with_batch(schema: StructType) -> StructType:
-    return StructType([*schema.fields]).add("group", "string").add("batch_id", "bigint")
+    return StructType([*schema.fields]).add("group", T.StringType()).add("batch_id", T.LongType())
 
 
 def read_batches(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -68,7 +68,7 @@ def upsert_state(batch: DataFrame, path: str, batch_id: int, group: str = "main"
 
 def read_state(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Latest state over all slots; an older slot never holds a newer row."""
-    slots = StructType([*schema.fields]).add("group", "string").add("slot", "int")
+    slots = StructType([*schema.fields]).add("group", T.StringType()).add("slot", T.IntegerType())
     return latest_state(read_if_there(spark, path, slots)).drop("group", "slot")
 
 
