@@ -15,7 +15,7 @@ BAD_OBJECT = "invalid JSON object"
 BAD_EVENTS = "invalid JSON in events array"
 # -----------------------------------------------------------------------------
 
-_LEADING = r"^[ \t\r\n\x0B\f]*"
+_FIRST_CHARACTER = r"^[ \t\r\n\x0B\f]*([^ \t\r\n\x0B\f])"
 
 
 def _malformed(event: Column) -> Column:
@@ -58,7 +58,7 @@ def parse_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     in_brackets = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     read = computed_once(
         df,
-        _head=F.regexp_extract(text, _LEADING + r"([\s\S])", 1),
+        _head=F.regexp_extract(text, _FIRST_CHARACTER, 1),
         _values=F.try_variant_get(in_brackets, "$", "array<variant>"),
     )
     value = F.when(F.size("_values") == 1, F.get("_values", F.lit(0)))
