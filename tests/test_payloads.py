@@ -75,3 +75,11 @@ def test_values(spark):
     row = parse(spark, json.dumps(full))[0][0]
     assert (row["lat"], row["lon"], row["velocity_ms"], row["category"]) == (10.0, 2.0, 12.0, 3)
     assert row["squawk"] is None and row["callsign"] == "BAW1" and row["spi"] is None
+
+
+def test_known_names_inside_unknown_objects(spark):
+    """Only the event's own fields are typed, not what an unknown object holds."""
+    inner = json.dumps(EVENT | {"extra": {"event_id": 5, "lat": "x"}, "more": [{"spi": 1}]})
+    events, errors = parse(spark, inner)
+    assert errors == [] and events[0]["event_id"] == "a"
+    assert parse(spark, json.dumps(EVENT | {"extra": {"lat": 1}, "lat": "x"}))[1] == ["invalid JSON object"]

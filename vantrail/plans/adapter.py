@@ -176,7 +176,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = telemetry(spark, sf_dir)
     n = F.col("n")
     text = lambda c: F.col(c).cast("string")
-    quoted = lambda c: F.when(c.isNotNull(), F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)).otherwise("null")
+    quoted = lambda c: F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
     number = lambda c: F.coalesce(text(c), F.lit("null"))
     source = F.when(n % 5 == 4, F.lit("9")).otherwise((n % 5).cast("string"))
     values = [
