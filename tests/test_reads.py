@@ -29,6 +29,14 @@ def test_cursor_round_trip(spark, observations):
     assert all("=" not in t and "+" not in t and "/" not in t for t in tokens)
 
 
+def test_long_token_is_one_line(observations):
+    row_id = "00000000-0000-0000-0000-000000000001"
+    df = observations({"event_id": row_id, "observed_at": at("2025-01-01T10:00:00.123456")})
+    token = df.select(cursor_token(F.col("observed_at"), F.col("event_id"))).first()[0]
+    assert token == token_of(f"2025-01-01T10:00:00.123456Z|{row_id}")
+    assert reads.decode_cursor(token).row_id == row_id
+
+
 def test_limits():
     assert reads.check_limit(None) == 100 and reads.check_limit(1000) == 1000
     for bad in (0, -1, 1001):

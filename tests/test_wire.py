@@ -51,6 +51,13 @@ def test_every_cut_is_found(observations, spark):
     assert wire.decode_topic(cuts).filter(F.col("error").isNull()).count() == 0
 
 
+def test_text_that_is_no_utf8(observations, spark):
+    value = bytes(wire.encode_topic(observations({"callsign": "BAW1"}), 1).first()["value"])
+    rows = [(0, value.replace(b"BAW1", b"\xff\xfe\xfd\xfc")), (1, value)]
+    got = wire.decode_topic(spark.createDataFrame(rows, "i int, value binary")).orderBy("i").collect()
+    assert [(r["error"], r["callsign"], r["event_id"]) for r in got] == [(wire.BAD_RECORD, None, None), (None, "BAW1", "e0")]
+
+
 def test_topic_options():
     reader = topic.topic_options("broker:9092", "telemetry", max_offsets=5000)
     assert reader["startingOffsets"] == "earliest" and reader["maxOffsetsPerTrigger"] == "5000"

@@ -156,4 +156,5 @@ def rfc3339_text(ts: Column) -> Column:
 def cursor_token(ts: Column, row_id: Column) -> Column:
     """Page cursor: URL-safe base64 without padding of ``time|id``."""
     raw = F.concat_ws("|", rfc3339_text(ts), row_id)
-    return F.rtrim(F.translate(F.base64(raw.cast("binary")), "+/", "-_"), F.lit("="))
+    # Base64 text comes in lines of 76 characters; translate drops their ends.
+    return F.rtrim(F.translate(F.base64(raw.cast("binary")), "+/\r\n", "-_"), F.lit("="))

@@ -146,10 +146,11 @@ def ingest_report(bodies: DataFrame, as_of: datetime, events: str = "events", bo
     return counted.withColumn("outcome", F.when(refused, REFUSED_OUTCOME).otherwise(ACCEPTED_OUTCOME))
 
 
-def quarantine(df: DataFrame, as_of: datetime, name: str = "ingest"):
-    """(accepted, rejected, observation): bad rows leave the flow and are counted.
+def quarantine(df: DataFrame, as_of: datetime, name: str = "ingest") -> tuple[DataFrame, Observation]:
+    """Events with their ``rule`` and ``error``, and the counts of both flows.
 
-    The observation fills when an action runs over either frame.
+    One frame, so that the checks run once: rows with an error go to the
+    quarantine table, the others on. The observation fills when an action runs.
     """
     counts = Observation(name)
     checked = check(df, as_of).observe(
@@ -157,9 +158,4 @@ def quarantine(df: DataFrame, as_of: datetime, name: str = "ingest"):
         F.count_if(F.col("error").isNull()).alias("accepted"),
         F.count_if(F.col("error").isNotNull()).alias("rejected"),
     )
-    return (
-        checked.filter(F.col("error").isNull()).drop("rule", "error"),
-        checked.filter(F.col("error").isNotNull()),
-        counts,
-    )
-
+    return checked, counts

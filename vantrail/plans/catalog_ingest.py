@@ -149,9 +149,9 @@ add(
 
 
 def quarantined(c: Case):
-    accepted, rejected, _ = v.quarantine(events(c), c.as_of)
-    flows = accepted.select(F.lit("accepted").alias("flow")).unionByName(rejected.select(F.lit("rejected").alias("flow")))
-    return flows.groupBy("flow").agg(F.count(F.lit(1)).alias("events"))
+    checked, _ = v.quarantine(events(c), c.as_of)
+    flow = F.when(C("error").isNull(), "accepted").otherwise("rejected")
+    return checked.groupBy(flow.alias("flow")).agg(F.count(F.lit(1)).alias("events"))
 
 
 add(

@@ -39,11 +39,11 @@ LAKE = {"lake": sinks.lake_sink}
 
 
 def raw_table(c: Case) -> DataFrame:
-    return batches(c, f"{run(c, OPERATIONAL)}/raw", c.feed.schema)
+    return batches(c, f"{run(c, {'operational': sinks.raw_sink})}/raw", c.feed.schema)
 
 
 def state_table(c: Case) -> DataFrame:
-    return tables.read_state(c.spark, f"{run(c, OPERATIONAL)}/state", c.feed.schema)
+    return tables.read_state(c.spark, f"{run(c, {'operational': sinks.state_sink})}/state", c.feed.schema)
 
 
 def columnar_table(c: Case, root: str) -> DataFrame:
@@ -205,9 +205,9 @@ add(
 
 def replayed_group(c: Case) -> DataFrame:
     """A second group reads everything again into the same raw table."""
-    root = run(c, OPERATIONAL)
+    root = run(c, {"operational": sinks.raw_sink})
     marks = shared_folder(c.spark, "marks")
-    again = sinks.operational_sink(root, group="again")
+    again = sinks.raw_sink(root, group="again")
     replay(c.spark, c.feed, lambda stream: [jobs.start(stream, "again", again, marks, drain=True)], rounds=2)
     return batches(c, f"{root}/raw", c.feed.schema)
 

@@ -15,12 +15,16 @@ def write_lake(df: DataFrame, path: str, mode: str = "append", files: int | None
 
     Rows are range-partitioned on the whole sort order. A day and country with a
     third of all rows is thereby spread over many tasks, while each file still
-    holds one narrow time range that row-group statistics can prune.
+    holds one narrow time range that row-group statistics can prune. ``files``
+    is the number of writing tasks, the session's shuffle partitions by default;
+    a day and country is cut only where one of them ends, so more tasks do not
+    mean many small files.
     """
+    tasks = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     day = df.withColumn("observed_day", F.to_date("observed_at"))
-    spread = day.repartitionByRange(files, *LAKE_PLACE) if files else day.repartitionByRange(*LAKE_PLACE)
     (
-        spread.sortWithinPartitions(*LAKE_PLACE[:2], F.asc_nulls_last("observed_at"))
+        day.repartitionByRange(tasks, *LAKE_PLACE)
+        .sortWithinPartitions(*LAKE_PLACE[:2], F.asc_nulls_last("observed_at"))
         .write.mode(mode)
         .partitionBy("observed_day", "origin_country")
         .parquet(path)

@@ -1,8 +1,8 @@
 """Topic values: a zero byte, a four-byte schema id and an Avro record.
 
 Framing, checks and routing are Spark expressions. Spark's Avro functions are a
-separate module that a plain installation lacks, so a short Arrow helper reads
-and writes the body of this one fixed record layout.
+separate module that a plain installation lacks, so an Arrow helper reads and
+writes the bodies of this one fixed record layout, a whole batch at a time.
 """
 
 from __future__ import annotations
@@ -10,7 +10,9 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from vantrail.schema import POSITION_SOURCES, TELEMETRY, WIRE_HEADER_BYTES, WIRE_MAGIC
@@ -22,118 +24,193 @@ BAD_RECORD = "avro record cannot be decoded"
 # -----------------------------------------------------------------------------
 
 
-def _zigzag_bytes(n: int) -> bytes:
-    n = (n << 1) ^ (n >> 63)
-    out = bytearray()
-    while n > 0x7F:
-        out.append(n & 0x7F | 0x80)
-        n >>= 7
-    out.append(n)
-    return bytes(out)
-
-
-def _zigzag_at(data: bytes, at: int) -> tuple[int, int]:
-    n = shift = 0
-    while True:
-        byte = data[at]
-        at += 1
-        n |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return (n >> 1) ^ -(n & 1), at
-        shift += 7
-        if shift > 63:
-            raise ValueError("number too long")
-
-
-def _write(field: T.StructField, value) -> bytes:
-    """Avro bytes of one field; nullable fields are a union with null first."""
-    if field.nullable:
-        if value is None:
-            return _zigzag_bytes(0)
-        return _zigzag_bytes(1) + _write(T.StructField(field.name, field.dataType, False), value)
-    if field.name == "position_source":
-        return _zigzag_bytes(POSITION_SOURCES.index(value))
-    if isinstance(field.dataType, T.StringType):
-        text = value.encode()
-        return _zigzag_bytes(len(text)) + text
-    if isinstance(field.dataType, T.DoubleType):
-        return struct.pack("<d", value)
-    if isinstance(field.dataType, T.BooleanType):
-        return b"\x01" if value else b"\x00"
-    return _zigzag_bytes(value)
-
-
-def _read(field: T.StructField, data: bytes, at: int):
-    if field.nullable:
-        branch, at = _zigzag_at(data, at)
-        if branch == 0:
-            return None, at
-        if branch != 1:
-            raise ValueError("no such union branch")
-        return _read(T.StructField(field.name, field.dataType, False), data, at)
-    if isinstance(field.dataType, T.DoubleType):
-        return struct.unpack_from("<d", data, at)[0], at + 8
-    if isinstance(field.dataType, T.BooleanType):
-        if data[at] > 1:
-            raise ValueError("not a boolean")
-        return data[at] == 1, at + 1
-    number, at = _zigzag_at(data, at)
-    if field.name == "position_source":
-        if not 0 <= number < len(POSITION_SOURCES):
-            raise ValueError("no such symbol")
-        return POSITION_SOURCES[number], at
-    if isinstance(field.dataType, T.StringType):
-        if number < 0 or at + number > len(data):
-            raise ValueError("text out of bounds")
-        return data[at : at + number].decode(), at + number
-    return number, at
+class _Reader:
+    """One pass over the record bodies of an Arrow batch, all rows at a time.
+
+    ``at`` is each row's place in the shared bytes, ``good`` is false from the
+    first value on that a row cannot give.
+    """
+
+    def __init__(self, bodies: pa.Array) -> None:
+        self.good = np.asarray(bodies.is_valid())
+        self.data, offsets = _bytes_of(bodies)
+        self.data = np.concatenate([self.data, np.zeros(16, np.uint8)])
+        self.at, self.end = offsets[:-1].copy(), offsets[1:]
+
+    def _need(self, rows: np.ndarray, size) -> None:
+        self.good &= ~rows | ((self.at + size <= self.end) & (size >= 0))
+
+    def number(self, rows: np.ndarray) -> np.ndarray:
+        """Zigzag variable-length integers."""
+        value, more = np.zeros(len(rows), np.uint64), rows & self.good
+        for shift in range(0, 70, 7):
+            self._need(more, 1)
+            more &= self.good
+            byte = self.data[np.where(more, self.at, 0)]
+            value |= np.where(more, byte & 0x7F, 0).astype(np.uint64) << np.uint64(shift)
+            self.at += more
+            more &= byte > 0x7F
+            if not more.any():
+                break
+        self.good &= ~more
+        return (value >> np.uint64(1)).astype(np.int64) ^ -(value & np.uint64(1)).astype(np.int64)
+
+    def doubles(self, rows: np.ndarray) -> np.ndarray:
+        self._need(rows, 8)
+        found = np.zeros(len(rows))
+        take = rows & self.good
+        cells = self.data[self.at[take][:, None] + np.arange(8)]
+        found[take] = np.ascontiguousarray(cells).view("<f8").ravel()
+        self.at += np.where(take, 8, 0)
+        return found
+
+    def flags(self, rows: np.ndarray) -> np.ndarray:
+        self._need(rows, 1)
+        byte = self.data[np.where(rows & self.good, self.at, 0)]
+        self.good &= ~rows | (byte <= 1)
+        self.at += rows & self.good
+        return byte == 1
+
+    def texts(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, length) of each text."""
+        size = self.number(rows)
+        self._need(rows, size)
+        size = np.where(rows & self.good, size, 0)
+        start = self.at.copy()
+        self.at += size
+        return start, size
+
+    def strings(self, start: np.ndarray, size: np.ndarray, rows: np.ndarray) -> pa.Array:
+        """Text column; a row whose bytes are no UTF-8 turns bad."""
+        offsets = np.zeros(len(size) + 1, np.int64)
+        np.cumsum(size, out=offsets[1:])
+        flat = self.data[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
+        if (flat > 0x7F).any():
+            for i in np.flatnonzero(size):
+                try:
+                    flat[offsets[i] : offsets[i + 1]].tobytes().decode()
+                except UnicodeDecodeError:
+                    self.good[i] = False
+                    flat[offsets[i] : offsets[i + 1]] = 0
+        array = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(flat))
+        return pc.if_else(pa.array(rows), array.cast(pa.string()), None)
+
+
+def _bytes_of(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a text or binary column; null counts as empty."""
+    plain = pc.fill_null(array, b"" if pa.types.is_binary(array.type) else "").cast(pa.large_binary())
+    offsets = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]
+    data = plain.buffers()[2]
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets
+
+
+def _decode_bodies(bodies: pa.Array) -> tuple[list[pa.Array], np.ndarray]:
+    reader = _Reader(bodies)
+    everyone = reader.good.copy()
+    found = []
+    for field in TELEMETRY.fields:
+        rows = everyone & reader.good
+        if field.nullable:
+            branch = reader.number(rows)
+            reader.good &= ~rows | (branch == 0) | (branch == 1)
+            rows = rows & reader.good & (branch == 1)
+        kind = type(field.dataType)
+        if field.name == "position_source":
+            value = reader.number(rows)
+            reader.good &= ~rows | ((value >= 0) & (value < len(POSITION_SOURCES)))
+        elif kind is T.DoubleType:
+            value = reader.doubles(rows)
+        elif kind is T.BooleanType:
+            value = reader.flags(rows)
+        elif kind is T.StringType:
+            value = reader.texts(rows)
+        else:
+            value = reader.number(rows)
+            if kind is T.IntegerType:
+                reader.good &= ~rows | (np.abs(value + 0.5) < 2**31)
+        found.append((field, kind, rows, value))
+    texts = {f.name: reader.strings(*v, r) for f, k, r, v in found if k is T.StringType and f.name != "position_source"}
+    good, columns = reader.good & everyone, []
+    for field, kind, rows, value in found:
+        gone = ~(rows & good)
+        if field.name in texts:
+            columns.append(pc.if_else(pa.array(gone), None, texts[field.name]))
+        elif field.name == "position_source":
+            columns.append(pa.array(POSITION_SOURCES).take(pa.array(np.where(gone, 0, value), mask=gone)))
+        elif kind is T.TimestampType:
+            columns.append(pa.array(value, mask=gone).cast(pa.timestamp("us", "UTC")))
+        elif kind is T.IntegerType:
+            columns.append(pa.array(np.where(gone, 0, value).astype(np.int32), mask=gone))
+        else:
+            columns.append(pa.array(value, mask=gone))
+    return columns, good
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    arrow = [pa.timestamp("us", "UTC") if f.name == "observed_at" else _ARROW[type(f.dataType)] for f in TELEMETRY]
     for batch in batches:
-        columns: list[list] = [[] for _ in TELEMETRY.fields]
-        errors = []
-        for body in batch.column("_body").to_pylist():
-            row, error = [None] * len(columns), None
-            if body is not None:
-                try:
-                    at, found = 0, []
-                    for field in TELEMETRY.fields:
-                        value, at = _read(field, body, at)
-                        found.append(value)
-                    row = found
-                except (ValueError, IndexError, struct.error):
-                    error = BAD_RECORD
-            for column, value in zip(columns, row):
-                column.append(value)
-            errors.append(error)
-        kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "_body"]
+        bodies = batch.column("_body")
+        columns, good = _decode_bodies(bodies)
+        failed = np.asarray(bodies.is_valid()) & ~good
+        errors = pc.if_else(pa.array(failed), BAD_RECORD, pa.scalar(None, pa.string()))
         names = [n for n in batch.schema.names if n != "_body"]
         yield pa.RecordBatch.from_arrays(
-            kept + [pa.array(c, t) for c, t in zip(columns, arrow)] + [pa.array(errors, pa.string())],
+            [batch.column(n) for n in names] + columns + [errors],
             names=names + TELEMETRY.fieldNames() + ["_record_error"],
         )
 
 
+Piece = tuple[np.ndarray, np.ndarray]  # bytes per row, and the bytes of all rows
+
+
+def _number_piece(values: np.ndarray, rows: np.ndarray) -> Piece:
+    left = (values.astype(np.int64) << 1 ^ values.astype(np.int64) >> 63).astype(np.uint64)
+    cells, used = np.zeros((len(values), 10), np.uint8), np.zeros((len(values), 10), bool)
+    more = rows.copy()
+    for i in range(10):
+        used[:, i] = more
+        cells[:, i] = (left & np.uint64(0x7F)).astype(np.uint8) | np.where(left > 0x7F, 0x80, 0).astype(np.uint8)
+        more = more & (left > 0x7F)
+        left = left >> np.uint64(7)
+    return used.sum(axis=1), cells[used]
+
+
+def _value_pieces(field: T.StructField, column: pa.Array) -> list[Piece]:
+    """Avro bytes of a column; nullable fields are a union with null first."""
+    rows = np.asarray(column.is_valid())
+    pieces = [_number_piece(rows.astype(np.int64), np.ones(len(rows), bool))] if field.nullable else []
+    if field.name == "position_source":
+        return [_number_piece(pc.index_in(column, pa.array(POSITION_SOURCES)).to_numpy(zero_copy_only=False), rows)]
+    if isinstance(field.dataType, T.StringType):
+        data, offsets = _bytes_of(column)
+        size = np.diff(offsets)
+        return [*pieces, _number_piece(size, rows), (size, data[offsets[0] : offsets[-1]])]
+    if isinstance(field.dataType, T.DoubleType):
+        values = pc.fill_null(column, 0.0).to_numpy(zero_copy_only=False).astype("<f8")
+        return [*pieces, (np.where(rows, 8, 0), values[rows].view(np.uint8))]
+    if isinstance(field.dataType, T.BooleanType):
+        return [*pieces, (np.ones(len(rows), np.int64), np.asarray(column).astype(np.uint8))]
+    return [*pieces, _number_piece(pc.fill_null(column, 0).to_numpy(zero_copy_only=False), rows)]
+
+
+def _encode_bodies(columns: list[pa.Array]) -> pa.Array:
+    pieces = [p for field, column in zip(TELEMETRY.fields, columns) for p in _value_pieces(field, column)]
+    total = np.sum([size for size, _ in pieces], axis=0).astype(np.int64)
+    offsets = np.zeros(len(total) + 1, np.int64)
+    np.cumsum(total, out=offsets[1:])
+    out, place = np.zeros(offsets[-1], np.uint8), offsets[:-1].copy()
+    for size, flat in pieces:
+        before = np.cumsum(size) - size
+        out[np.repeat(place - before, size) + np.arange(len(flat))] = flat
+        place += size
+    array = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(total), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+    return array.cast(pa.binary())
+
+
 def _encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = [batch.column(name).to_pylist() for name in TELEMETRY.fieldNames()]
-        bodies = [
-            b"".join(_write(field, value) for field, value in zip(TELEMETRY.fields, row)) for row in zip(*columns)
-        ]
+        bodies = _encode_bodies([batch.column(name) for name in TELEMETRY.fieldNames()])
         names = [n for n in batch.schema.names if n not in TELEMETRY.fieldNames()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(n) for n in names] + [pa.array(bodies, pa.binary())], names=[*names, "_body"]
-        )
-
-
-_ARROW = {
-    T.StringType: pa.string(),
-    T.DoubleType: pa.float64(),
-    T.BooleanType: pa.bool_(),
-    T.IntegerType: pa.int32(),
-}
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], bodies], names=[*names, "_body"])
 
 
 def encode_topic(df: DataFrame, schema_id: int, *keep: str) -> DataFrame:

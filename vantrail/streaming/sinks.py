@@ -33,6 +33,20 @@ def _held(sink: BatchSink) -> BatchSink:
     return run
 
 
+def raw_sink(root: str, group: str = "operational") -> BatchSink:
+    """Only the raw insert by unseen id."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        append_raw(batch, f"{root}/raw", batch_id, group)
+
+    return run
+
+
+def state_sink(root: str, group: str = "operational") -> BatchSink:
+    """Only the state upsert, on every arrival."""
+    return lambda batch, batch_id: upsert_state(batch, f"{root}/state", batch_id, group)
+
+
 def operational_sink(root: str, group: str = "operational", rollups: tuple[str, ...] = ()) -> BatchSink:
     """Raw insert by unseen id, and the state upsert on every arrival.
 
