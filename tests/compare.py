@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import os
 from collections import Counter
 
@@ -22,11 +21,8 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def plain(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else (0.0 if v == 0 else v)
-    if isinstance(v, bool) or v is None:
-        return v
-    return v
+    """Floats as text, so that NaN equals NaN and -0.0 differs from 0.0."""
+    return repr(v) if isinstance(v, float) else v
 
 
 def difference(spark_df, con, sql: str) -> str | None:

@@ -83,3 +83,11 @@ def test_known_names_inside_unknown_objects(spark):
     events, errors = parse(spark, inner)
     assert errors == [] and events[0]["event_id"] == "a"
     assert parse(spark, json.dumps(EVENT | {"extra": {"lat": 1}, "lat": "x"}))[1] == ["invalid JSON object"]
+
+
+def test_body_size_limit(spark):
+    from vantrail.schema import MAX_BODY_BYTES
+
+    room = MAX_BODY_BYTES - len(ONE)
+    assert parse(spark, ONE + " " * room)[1] == []
+    assert parse(spark, ONE + " " * (room + 1))[1] == [f"request body exceeds {MAX_BODY_BYTES} bytes"]

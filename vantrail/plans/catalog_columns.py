@@ -157,10 +157,10 @@ add(
     lambda c: c.feed.select(
         "event_id",
         "seq",
-        F.round(fn.to_kmh(C("velocity_ms")), 4).alias("kmh"),
-        F.round(fn.to_knots(C("velocity_ms")), 4).alias("knots"),
+        F.round(fn.to_kmh(C("velocity_ms")) + 1e-9, 4).alias("kmh"),
+        F.round(fn.to_knots(C("velocity_ms")) + 1e-9, 4).alias("knots"),
     ),
-    "SELECT event_id, seq, round(velocity_ms * 3.6::DOUBLE, 4) AS kmh, round(velocity_ms * 1.943844::DOUBLE, 4) AS knots FROM feed",
+    "SELECT event_id, seq, round(velocity_ms * 3.6::DOUBLE + 1e-9, 4) AS kmh, round(velocity_ms * 1.943844::DOUBLE + 1e-9, 4) AS knots FROM feed",
 )
 
 add(

@@ -100,7 +100,7 @@ for metric in ("climbing", "descending"):
         lambda c, m=metric: r.top_airlines(
             r.airline_hour_state(c.feed), c.as_of.replace(hour=0, minute=0, second=0, microsecond=0), m
         ),
-        f"SELECT callsign_prefix, active_aircraft, {metric}_count, round({metric}_count / nullif(climbing_count + descending_count + cruising_count, 0), 6) AS share FROM ("
+        f"SELECT callsign_prefix, active_aircraft, {metric}_count, round({metric}_count / nullif(climbing_count + descending_count + cruising_count, 0) + 1e-9, 6) AS share FROM ("
         f"SELECT {PREFIX} AS callsign_prefix, count(DISTINCT icao24) AS active_aircraft, {COUNTERS} FROM raw "
         f"WHERE date_trunc('day', observed_at) = date_trunc('day', (SELECT t FROM last_seen)) AND {PREFIX} <> '' GROUP BY 1) "
         "ORDER BY share DESC NULLS LAST, callsign_prefix LIMIT 10",
@@ -116,9 +116,9 @@ add(
 WEEK = f"SELECT origin_country, {HOUR} AS hour, count(DISTINCT icao24) AS aircraft, avg(velocity_ms) FILTER (WHERE NOT on_ground) AS velocity FROM raw GROUP BY 1, 2"
 add(
     "a15_week_over_week",
-    lambda c: r.week_over_week(r.country_hour_final(r.country_hour_state(c.feed))).withColumn("velocity", F.round("velocity", 6)),
-    f"SELECT a.origin_country, a.hour, a.aircraft, round(a.velocity, 6) AS velocity, b.aircraft AS aircraft_before, "
-    "round(b.velocity, 6) AS velocity_before, a.aircraft - b.aircraft AS aircraft_change, "
-    f"round(a.velocity - b.velocity, 6) AS velocity_change FROM ({WEEK}) a JOIN ({WEEK}) b "
+    lambda c: r.week_over_week(r.country_hour_final(r.country_hour_state(c.feed))).withColumn("velocity", F.round(C("velocity") + 1e-9, 6)),
+    f"SELECT a.origin_country, a.hour, a.aircraft, round(a.velocity + 1e-9, 6) AS velocity, b.aircraft AS aircraft_before, "
+    "round(b.velocity + 1e-9, 6) AS velocity_before, a.aircraft - b.aircraft AS aircraft_change, "
+    f"round(a.velocity - b.velocity + 1e-9, 6) AS velocity_change FROM ({WEEK}) a JOIN ({WEEK}) b "
     "ON a.origin_country = b.origin_country AND a.hour = b.hour + INTERVAL 7 DAY",
 )

@@ -137,14 +137,14 @@ COUNTERS = (
     "count(*) FILTER (WHERE on_ground) AS on_ground_count"
 )
 EMERGENCY = "count(*) FILTER (WHERE squawk IN ('7500','7600','7700')) AS emergency_squawks_count"
-AVG_VELOCITY = "round(avg(velocity_ms) FILTER (WHERE NOT on_ground), 6) AS avg_velocity_ms"
-AVG_ALTITUDE = "round(avg(baro_altitude_m) FILTER (WHERE NOT on_ground), 6) AS avg_baro_altitude_m"
+AVG_VELOCITY = "round(avg(velocity_ms) FILTER (WHERE NOT on_ground) + 1e-9, 6) AS avg_velocity_ms"
+AVG_ALTITUDE = "round(avg(baro_altitude_m) FILTER (WHERE NOT on_ground) + 1e-9, 6) AS avg_baro_altitude_m"
 SUM_VELOCITY = (
-    "round(coalesce(sum(velocity_ms) FILTER (WHERE NOT on_ground), 0), 6) AS sum_velocity_ms, "
+    "round(coalesce(sum(velocity_ms) FILTER (WHERE NOT on_ground), 0) + 1e-9, 6) AS sum_velocity_ms, "
     "count(velocity_ms) FILTER (WHERE NOT on_ground) AS count_velocity_obs"
 )
 SUM_ALTITUDE = (
-    "round(coalesce(sum(baro_altitude_m) FILTER (WHERE NOT on_ground), 0), 6) AS sum_baro_altitude_m, "
+    "round(coalesce(sum(baro_altitude_m) FILTER (WHERE NOT on_ground), 0) + 1e-9, 6) AS sum_baro_altitude_m, "
     "count(baro_altitude_m) FILTER (WHERE NOT on_ground) AS count_alt_obs"
 )
 

@@ -20,6 +20,7 @@ COLUMNAR_RAW_DAYS = 180
 ROLLUP_DAYS = 90
 GRID_DAYS = 30
 REPLAY_HOURS = 48
+MAX_BODY_BYTES = 10 * 1024 * 1024
 WIRE_MAGIC = 0
 WIRE_HEADER_BYTES = 5
 # Position of each value inside a snapshot state vector (12 is unused).

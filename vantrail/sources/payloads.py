@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vantrail.functions import computed_once
-from vantrail.schema import EVENT_REQUEST
+from vantrail.schema import EVENT_REQUEST, MAX_BODY_BYTES
 
 # --- Fixed values: body errors ------------------------------------------------
+TOO_LARGE = f"request body exceeds {MAX_BODY_BYTES} bytes"
 EMPTY_BODY = "empty body"
 NOT_A_CONTAINER = "expected JSON object or array"
 BAD_ARRAY = "invalid JSON array"
@@ -48,12 +49,14 @@ def _typed(event: Column) -> Column:
 def parse_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     """Adds ``events`` (array of requests) and ``body_error``.
 
-    One malformed element rejects the whole body. The body is parsed inside
+    One malformed element rejects the whole body, as does a body over the size
+    limit, so the events of one row are bounded. The body is parsed inside
     brackets: a valid body is then an array of exactly one value, so text after
     the JSON value is an error too.
     """
     text = F.col(body)
-    in_brackets = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    fits = F.octet_length(text) <= MAX_BODY_BYTES
+    in_brackets = F.when(fits, F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
     read = computed_once(
         df,
         _head=F.regexp_extract(text, _FIRST_CHARACTER, 1),
@@ -72,7 +75,8 @@ def parse_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     listed = computed_once(valued, _elements=elements)
     unreadable = F.coalesce(F.exists("_elements", _malformed), F.lit(True))
     error = (
-        F.when(text.isNull() | (F.col("_head") == ""), EMPTY_BODY)
+        F.when(~fits, TOO_LARGE)
+        .when(text.isNull() | (F.col("_head") == ""), EMPTY_BODY)
         .when(~F.col("_head").isin("[", "{"), NOT_A_CONTAINER)
         .when(unreadable, F.when(is_list, BAD_ARRAY).when(is_wrapper, BAD_EVENTS).otherwise(BAD_OBJECT))
     )
