@@ -5,8 +5,9 @@ from compare import difference, duck
 from conftest import SF
 
 import __spark_entry__ as entry
+from vantrail.plans import catalog
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, catalog.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -27,4 +28,4 @@ def test_entry(spark):
 
 
 def test_same_keys():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
