@@ -129,15 +129,18 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     that repeat a doc_id share their successor; as the next document counts the row
     with the smallest text. A null doc_id has no successor: its last half just goes.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartition("doc_id")
     half = (F.length("text") / 2).cast("int")
+    texts = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).repartition("doc_id")
     needs = docs.groupBy("doc_id").agg(F.max(F.coalesce(half, F.lit(0))).alias("needs"))
     asked = following(docs).join(needs, "doc_id").select(F.col("doc_id").alias("asker"), F.col("next_id").alias("doc_id"), "needs")
+    # Both joins on doc_id read the one exchange of ``texts``; rows without an id are apart so that its plan is the same in both.
     firsts = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     heads = firsts.join(asked, "doc_id").select(F.col("asker").alias("doc_id"), F.col("doc_id").alias("next_id"), F.substr("text", F.lit(1), F.col("needs")).alias("head"))
     kept = F.substr("text", F.lit(1), F.length("text") - half)
     edited = F.concat(kept, F.coalesce(F.substr("head", F.lit(1), half), F.lit("")))
-    return texts.join(heads, "doc_id", "left").select("doc_id", "next_id", "text", edited.alias("edited"))
+    named = texts.join(heads, "doc_id", "left").select("doc_id", "next_id", "text", edited.alias("edited"))
+    nameless = docs.where(F.col("doc_id").isNull()).select("doc_id", F.col("doc_id").alias("next_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return named.unionByName(nameless.withColumn("edited", kept))
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
