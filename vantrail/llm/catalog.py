@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vantrail.llm.exact import OP5_SQL, op5_exact_dedup
 from vantrail.llm.mixing import OP9_SQL, op9_mixing
 from vantrail.llm.multiset import op8_fingerprints
+from vantrail.llm.packing import op3_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": op3_packing,
+    "op5_exact_dedup": op5_exact_dedup,
     "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
 }
 
 ORACLE: dict[str, str] = {
+    "op5_exact_dedup": OP5_SQL,
     "op9_mixing": OP9_SQL,
 }
