@@ -4,7 +4,7 @@ Every document gets a number of copies drawn from a Poisson distribution whose m
 the repetition rate of its source: the target share of the source times all characters,
 divided by the characters the source has. The draw inverts the distribution at a
 uniform number hashed from the seed and the doc_id, so it is the same in every
-retry and on every cluster. Copies are then put in a global random order.
+retry and on every cluster. Copies are then dealt to random partitions and put in random order there.
 
 All is built-in Spark SQL. Characters are summed map-side, the table of rates has one
 row per named target, and copies are made row by row, so one source holding a
@@ -76,7 +76,7 @@ def mix(docs: DataFrame, targets: Mapping[str | None, float] | None = None, seed
     counted = drawn.withColumn("_u", u).withColumn("_n", copies).where("_n > 0").drop("_terms", "_u", "_source")
     several = counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
     place = F.xxhash64(F.col("doc_id"), F.col("_copy"), F.lit(seed))
-    return several.withColumn("_place", place).repartitionByRange("_place").sortWithinPartitions("_place").drop("_place")
+    return several.withColumn("_place", place).repartition("_place").sortWithinPartitions("_place").drop("_place")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
