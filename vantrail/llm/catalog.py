@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vantrail.llm.exact import OP5_SQL, op5_exact_dedup
+from vantrail.llm.jaccard import op4_jaccard_join
 from vantrail.llm.mixing import OP9_SQL, op9_mixing
 from vantrail.llm.multiset import op8_fingerprints
 from vantrail.llm.packing import op3_packing
@@ -14,6 +15,7 @@ from vantrail.llm.repeats import op6_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_repeats": op6_repeats,
     "op8_fingerprints": op8_fingerprints,
