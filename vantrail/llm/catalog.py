@@ -7,19 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from vantrail.llm.exact import OP5_SQL, op5_exact_dedup
+from vantrail.llm.identifiers import op10_identifiers
 from vantrail.llm.jaccard import op4_jaccard_join
 from vantrail.llm.mixing import OP9_SQL, op9_mixing
 from vantrail.llm.multiset import op8_fingerprints
 from vantrail.llm.packing import op3_packing
 from vantrail.llm.repeats import op6_repeats
+from vantrail.llm.secret_scan import op2_secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secrets": op2_secrets,
     "op3_packing": op3_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_repeats": op6_repeats,
     "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
+    "op10_identifiers": op10_identifiers,
 }
 
 ORACLE: dict[str, str] = {
