@@ -99,7 +99,7 @@ def _signed(rule: Rule):
                 sets = shingle_sets(part.column("text"), rule)
                 both = [signature(s) for s in sets]
                 columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in both], pa.int64()), pa.array([b for _, b in both], pa.int64())]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n", "node", "check"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tag"), *columns], names=["doc_id", "tag", "n", "node", "check"])
 
     return scan
 
@@ -267,19 +267,32 @@ def links(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
 
 
 def classes(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, component_id per row of ``docs``."""
+    """doc_id, tag (hash of the text), n_shingles, component_id and class (a hash, the same for all of a class) per row of ``docs``."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = spool(slim.mapInArrow(_signed(rule), "doc_id long, n long, node long, check long"), "signed")
+    signed = spool(slim.withColumn("tag", F.xxhash64("text")).mapInArrow(_signed(rule), "doc_id long, tag long, n long, node long, check long"), "signed")
     nodes = signed.where("n > 0").groupBy("node", "check").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
     edges = spool(links(slim, nodes.where("doc_id is not null").select("node", "doc_id", "n"), rule), "links")
     labels = components(edges)
     least = nodes.join(labels, "node").groupBy("label").agg(F.min("doc_id").alias("least"))
-    joined = labels.join(least, "label").select("node", F.col("least").alias("linked"))
-    named = nodes.join(joined, "node", "left").select("node", "check", F.coalesce("linked", "doc_id").alias("component"))
-    return signed.join(named, ["node", "check"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+    joined = labels.join(least, "label").select("node", "label", F.col("least").alias("linked"))
+    named = nodes.join(joined, "node", "left").select("node", "check", F.coalesce("label", "node").alias("class"), F.coalesce("linked", "doc_id").alias("component"))
+    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
+    return signed.join(named, ["node", "check"], "left").select("doc_id", "tag", F.col("n").alias("n_shingles"), component, "class")
+
+
+def one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
+    """``docs`` with one row of each class: the smallest doc_id, and of rows that share it the smallest hash of the text.
+
+    Rows without words all stay; rows equal in doc_id and text stay or go together.
+    """
+    found = spool(classes(docs, rule), "classes")
+    first = found.where("n_shingles > 0").groupBy("class").agg(F.min(F.struct("doc_id", "tag")).alias("f")).select("f.doc_id", "f.tag")
+    stays = first.unionByName(found.where("n_shingles = 0").select("doc_id", "tag").distinct()).select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"))
+    tag = F.xxhash64(F.coalesce("text", F.lit("")))
+    return docs.join(stays, docs["doc_id"].eqNullSafe(F.col("_id")) & (tag == F.col("_tag")), "left_semi")
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document under 3-word shingles and a similarity of 0.9."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return classes(docs, Rule(3, 90, 100))
+    return classes(docs, Rule(3, 90, 100)).select("doc_id", "n_shingles", "component_id")
