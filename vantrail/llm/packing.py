@@ -20,6 +20,7 @@ that repeat a doc_id are packed each, ``row`` tells them apart; an empty table g
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -36,6 +37,10 @@ CAPACITY = 4096
 END = 1
 #: Words whose ids a task remembers.
 REMEMBERED = 400_000
+#: Marks that are a piece of their own behind letters, and the first letter beyond those whose small form is one letter in normal form.
+MARKS = ".,;:!?"
+SIMPLE = "\u0250"
+_UNLIKE = re.compile(r"[\S\x1c-\x1f]+")
 #: Rounds of pricing, and how fast the weight of a covered length falls.
 ROUNDS = 100
 RATE = 1.0
@@ -49,7 +54,8 @@ class WordIds:
     """Ids of white-space free words as little-endian bytes, remembered.
 
     The tokenizer drops white space and none of its rules crosses it, so the ids of a text are
-    those of its words one after the other. Two generations of words are kept: when the
+    those of its words one after the other; a plain word with capitals or a mark behind it is
+    put together from its parts. Two generations of words are kept: when the
     younger is full it becomes the older, and words still in use come back from there.
     """
 
@@ -63,23 +69,39 @@ class WordIds:
     def learn(self, words: set[str], may_turn: bool = True) -> None:
         if may_turn and len(self.young) + len(words) > REMEMBERED:
             self.old, self.young = self.young, {}
-        fresh = []
+        known, composed, fresh = self.young, [], set()
         for w in words:
             if w in self.old:
-                self.young[w] = self.old[w]
-            elif w not in self.young:
-                fresh.append(w)
+                known[w] = self.old[w]
+            elif w not in known:
+                core = w[:-1] if w[-1] in MARKS else w
+                low = core.lower()
+                if low != w and low.isalpha() and len(low) == len(core) and max(low) < SIMPLE:
+                    composed.append((w, low, w[len(core) :]))
+                    for x in (low, w[len(core) :]):
+                        if x and x not in known:
+                            if x in self.old:
+                                known[x] = self.old[x]
+                            else:
+                                fresh.add(x)
+                else:
+                    fresh.add(w)
         if fresh:  # as one text; the places of the ids tell the words
-            coded = self.tokenizer.encode(" ".join(fresh), add_special_tokens=False)
+            ordered = list(fresh)
+            coded = self.tokenizer.encode(" ".join(ordered), add_special_tokens=False)
             ids = np.array(coded.ids, "<u4")
-            at = np.array(coded.offsets, np.int64).reshape(-1, 2)[:, 0]
-            starts = np.cumsum([0, *(len(w) + 1 for w in fresh)])
-            cuts = np.searchsorted(at, starts).tolist()
-            for w, a, b in zip(fresh, cuts[:-1], cuts[1:], strict=True):
-                self.young[w] = ids[a:b].tobytes()
+            at = np.fromiter((a for a, _ in coded.offsets), np.int64, len(ids))
+            starts = np.cumsum([0, *(len(w) + 1 for w in ordered)])
+            cuts = (np.searchsorted(at, starts) * 4).tolist()
+            data = ids.tobytes()
+            for w, a, b in zip(ordered, cuts[:-1], cuts[1:], strict=True):
+                known[w] = data[a:b]
+        for w, low, mark in composed:
+            known[w] = known[low] + known[mark] if mark else known[low]
 
     def of(self, texts: list[str]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        # str.split() also cuts at four control characters that are no white space for the tokenizer
+        split = [_UNLIKE.findall(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
         known = self.young
         missing = {w for words in split for w in words if w not in known}
         if missing:
