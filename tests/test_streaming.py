@@ -37,7 +37,7 @@ def test_running_a_batch_again_changes_nothing(spark, observations, tmp_path):
     look = lambda: (
         sorted(map(tuple, tables.read_batches(spark, f"{root}/raw", OBSERVED).collect()), key=str),
         sorted(map(tuple, tables.read_state(spark, f"{root}/state", OBSERVED).collect()), key=str),
-        r.country_hour_final(spark.read.parquet(f"{root}/rollup_country").drop("group", "batch_id")).collect(),
+        r.country_hour_final(spark.read.parquet(f"{root}/rollup_country").drop(*tables.BATCH_KEYS)).collect(),
     )
     sink(feed.filter("seq < 5"), 0)
     sink(feed.filter("seq >= 5"), 1)

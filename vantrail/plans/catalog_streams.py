@@ -21,16 +21,24 @@ C = F.col
 SEEN = f"{FIELDS}, seq"
 
 
-def run(c: Case, make: dict, arrivals: DataFrame | None = None) -> str:
-    """Replay through sinks given as name -> maker(root); returns their root."""
-    root, marks = shared_folder(c.spark, "tables"), shared_folder(c.spark, "marks")
+def run(c: Case, make: dict, arrivals: DataFrame | None = None, root: str | None = None, rounds: int = 3) -> str:
+    """Replay through sinks given as name -> maker(root), under new checkpoints; returns their root."""
+    root, marks = root or shared_folder(c.spark, "tables"), shared_folder(c.spark, "marks")
     built = {name: maker(root) for name, maker in make.items()}
-    replay(c.spark, c.feed if arrivals is None else arrivals, lambda stream: jobs.start_fanout(stream, built, marks, drain=True))
+    replay(c.spark, c.feed if arrivals is None else arrivals, lambda stream: jobs.start_fanout(stream, built, marks, drain=True), rounds)
     return root
 
 
+def run_with_new_checkpoint(c: Case, make: dict) -> str:
+    """All arrivals, then from the start again and from a later offset, each time under new checkpoints and with other batch borders."""
+    root = run(c, make)
+    run(c, make, root=root, rounds=2)
+    middle = c.feed.agg(F.max("seq")).first()[0] // 2
+    return run(c, make, c.feed.filter(C("seq") >= middle), root, rounds=1)
+
+
 def batches(c: Case, path: str, schema) -> DataFrame:
-    return tables.read_batches(c.spark, path, schema).drop("group", "batch_id")
+    return tables.read_batches(c.spark, path, schema).drop(*tables.BATCH_KEYS)
 
 
 OPERATIONAL = {"operational": sinks.operational_sink}
@@ -52,7 +60,7 @@ def columnar_table(c: Case, root: str) -> DataFrame:
 
 
 def rollup(c: Case, root: str, name: str) -> DataFrame:
-    return c.spark.read.parquet(f"{root}/rollup_{name}").drop("group", "batch_id")
+    return c.spark.read.parquet(f"{root}/rollup_{name}").drop(*tables.BATCH_KEYS)
 
 
 add("s7_append_raw", raw_table, f"SELECT {SEEN} FROM raw")
@@ -64,6 +72,24 @@ add(
 )
 
 
+add(
+    "s7_append_raw_new_checkpoint",
+    lambda c: batches(c, f"{run_with_new_checkpoint(c, {'operational': sinks.raw_sink})}/raw", c.feed.schema),
+    f"SELECT {SEEN} FROM raw",
+)
+add(
+    "s8_upsert_state_new_checkpoint",
+    lambda c: tables.read_state(c.spark, f"{run_with_new_checkpoint(c, {'operational': sinks.state_sink})}/state", c.feed.schema),
+    f"SELECT {SEEN} FROM latest",
+)
+add(
+    "s9_append_columnar_new_checkpoint",
+    lambda c: columnar_table(c, run_with_new_checkpoint(c, {"columnar": lambda root: sinks.columnar_sink(root, rollups=())})),
+    f"SELECT * REPLACE (category::TINYINT AS category) FROM (SELECT {SEEN} FROM feed UNION ALL SELECT {SEEN} FROM feed "
+    f"UNION ALL SELECT {SEEN} FROM feed WHERE seq >= (SELECT max(seq) // 2 FROM feed))",
+)
+
+
 def staged_topic(c: Case) -> DataFrame:
     """The telemetry as topic rows; arrival order is the offset."""
     return wire.encode_topic(c.telemetry.withColumn("sent_at", C("observed_at")), 7, "seq", "sent_at").select(
@@ -188,7 +214,7 @@ def poisoned(c: Case) -> DataFrame:
     stream = c.spark.readStream.schema("seq bigint, key binary, value binary").parquet(landing)
 
     def sink(batch, batch_id):
-        batch.select("seq", "error").write.mode("overwrite").parquet(tables.place(root, "poison", batch_id))
+        batch.select("seq", "error").write.mode("overwrite").parquet(tables.place(root, "poison", tables.run_of(batch), batch_id))
 
     jobs.start(wire.decode_topic(stream), "poison", sink, marks, drain=True).awaitTermination()
     rows = c.spark.read.parquet(root)
@@ -252,6 +278,11 @@ add(
     lambda c: rollup_final(c, run(c, {"operational": lambda root: sinks.operational_sink(root, rollups=("country",))})),
     country_hour("raw"),
 )
+add(
+    "a8_maintain_rollup_new_checkpoint",
+    lambda c: rollup_final(c, run_with_new_checkpoint(c, {"operational": lambda root: sinks.operational_sink(root, rollups=("country",))})),
+    country_hour("raw"),
+)
 add("t10_stream_rollups", lambda c: rollup_final(c, run(c, COLUMNAR)), country_hour("feed"))
 add(
     "t10_stream_rollups_airline",

@@ -1,7 +1,8 @@
 """What each consumer group does with a micro-batch.
 
-Every sink is idempotent per (group, batch number): the checkpoint advances only
-after the sink returns, and a batch that runs again replaces its own output.
+Every sink is idempotent per (group, run, batch number), where the run is the id that
+the checkpoint holds: the checkpoint advances only after the sink returns, a
+batch that runs again replaces its own output, and a new checkpoint starts a new run.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from vantrail.operators.dedupe import dedupe_first
 from vantrail.operators.rollups import airline_hour_state, country_hour_state, grid_state
 from vantrail.sources.lake import write_lake
-from vantrail.sources.tables import append_columnar, append_raw, append_rollup, place, upsert_state
+from vantrail.sources.tables import append_columnar, append_raw, append_rollup, place, run_of, upsert_state
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -58,7 +59,7 @@ def operational_sink(root: str, group: str = "operational", rollups: tuple[str,
         inserted = append_raw(batch, f"{root}/raw", batch_id, group)
         upsert_state(batch, f"{root}/state", batch_id, group)
         for name in rollups:
-            append_rollup(ROLLUPS[name](inserted, dedupe=False), f"{root}/rollup_{name}", batch_id, group)
+            append_rollup(ROLLUPS[name](inserted, dedupe=False), f"{root}/rollup_{name}", batch_id, run_of(batch), group)
 
     return _held(run)
 
@@ -69,7 +70,7 @@ def columnar_sink(root: str, group: str = "columnar", rollups: tuple[str, ...] =
     def run(batch: DataFrame, batch_id: int) -> None:
         append_columnar(batch, f"{root}/columnar", batch_id, group)
         for name in rollups:
-            append_rollup(ROLLUPS[name](batch, dedupe=False), f"{root}/rollup_{name}", batch_id, group)
+            append_rollup(ROLLUPS[name](batch, dedupe=False), f"{root}/rollup_{name}", batch_id, run_of(batch), group)
 
     return _held(run)
 
@@ -78,6 +79,6 @@ def lake_sink(root: str, group: str = "lake") -> BatchSink:
     """One row per id and flush, into the day and country layout."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        write_lake(dedupe_first(batch), place(f"{root}/lake", group, batch_id), mode="overwrite")
+        write_lake(dedupe_first(batch), place(f"{root}/lake", group, run_of(batch), batch_id), mode="overwrite")
 
     return run
