@@ -54,7 +54,7 @@ def test_large_day_is_spread_and_time_clustered(spark, stored):
 def test_sql_is_always_capped(spark, stored):
     table = lake.read_lake(spark, stored)
     assert lake.lake_sql(spark, table, "SELECT 'limit' AS word, * FROM telemetry", 7).count() == 7
-    assert lake.lake_sql(spark, table, "SELECT * FROM telemetry", 0).count() == 4000
+    assert lake.lake_sql(spark, table, "SELECT * FROM telemetry").count() == 4000
 
 
 def test_evolve(spark):

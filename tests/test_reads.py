@@ -14,7 +14,8 @@ def token_of(text):
 
 
 @pytest.mark.parametrize(
-    "bad", ["%%%", token_of("no separator"), token_of("|id"), token_of("2025-01-01T00:00:00Z|"), token_of("yesterday|id"), "ab+/"]
+    "bad", ["%%%", token_of("no separator"), token_of("|id"), token_of("2025-01-01T00:00:00Z|"), token_of("yesterday|id"), "ab+/",
+            token_of("2024-01-20T10:00Z|x"), token_of("20240120T100000Z|x"), token_of("2024-01-20T10:00:00+0000|x"), token_of("2024-13-20T10:00:00Z|x")]
 )
 def test_bad_cursor(bad):
     with pytest.raises(ValueError):
@@ -60,8 +61,8 @@ def test_walk_equals_paginate(observations):
         if cursor is None:
             break
     assert [len(p) for p in walked] == [10, 10, 5]
-    for hot in (1_000_000, 3):
-        pages = reads.paginate(raw, 10, hot_rows=hot)
+    for seconds in (86_400, 1):
+        pages = reads.paginate(raw, 10, slice_seconds=seconds)
         by_page = {p: [r["event_id"] for r in pages.filter(F.col("page") == p).orderBy("rank").collect()] for p in range(3)}
         assert [by_page[p] for p in range(3)] == walked
         assert pages.filter("next_cursor is not null").count() == 2

@@ -56,6 +56,35 @@ def test_new_group_does_not_overwrite(spark, observations, tmp_path):
     assert tables.read_state(spark, f"{root}/state", OBSERVED).first()["event_id"] == "b"
 
 
+def test_new_checkpoint_repeats_and_loses_nothing(spark, observations, tmp_path):
+    """A group that starts again with other batch borders, as with a new checkpoint."""
+    root, marks, landing = str(tmp_path / "t"), tmp_path / "marks", str(tmp_path / "in")
+    rows = [{"event_id": f"e{i}", "observed_at": at(f"10:{i:02d}:00")} for i in range(12)]
+    observations(*rows).write.parquet(landing)
+    feed = lambda: spark.readStream.schema(OBSERVED).parquet(landing)
+    seen = []
+    for k in range(3):
+        for sink, name in ((sinks.operational_sink(root), "operational"), (sinks.columnar_sink(root, rollups=()), "columnar")):
+            jobs.start(feed(), name, sink, str(marks / str(k)), drain=True).awaitTermination()
+        seen.append(tables.read_state(spark, f"{root}/state", OBSERVED).first()["event_id"])
+    assert seen == ["e11"] * 3
+    assert tables.read_batches(spark, f"{root}/raw", OBSERVED).count() == 12
+    assert spark.read.parquet(f"{root}/columnar").count() == 36
+    old = observations({"event_id": "z", "observed_at": at("09:00:00")})
+    tables.upsert_state(old, f"{root}/state", 0, "operational")
+    assert tables.read_state(spark, f"{root}/state", OBSERVED).first()["event_id"] == "e11"
+
+
+def test_state_write_cut_off_before_its_record(spark, observations, tmp_path):
+    """Data without a commit record is not the state."""
+    path = str(tmp_path)
+    tables.upsert_state(observations({"event_id": "a"}, {"event_id": "b", "icao24": "b00002"}), path, 0)
+    observations({"event_id": "c", "observed_at": at("12:00:00")}).write.parquet(f"{path}/slots/group=main/slot=1")
+    assert {x["event_id"] for x in tables.read_state(spark, path, OBSERVED).collect()} == {"a", "b"}
+    tables.upsert_state(observations({"event_id": "d", "observed_at": at("13:00:00")}), path, 0)
+    assert {x["event_id"] for x in tables.read_state(spark, path, OBSERVED).collect()} == {"b", "d"}
+
+
 def test_late_rows_and_future_rows_survive_dedupe(spark, tmp_path):
     """The watermark is on arrival: a row 10 days late is kept after one a day ahead."""
     out, marks = str(tmp_path / "out"), str(tmp_path / "marks")
@@ -80,7 +109,7 @@ def test_metrics_and_shutdown(spark, observations, tmp_path):
     try:
         stream = metrics.count_decoded(spark.readStream.schema(feed.schema).parquet(landing))
         seen = []
-        query = jobs.start(stream, "metered", lambda b, i: seen.append(b.count()), str(tmp_path / "marks"), jobs.Pace(0.1, None))
+        query = jobs.start(stream, "metered", lambda b, i: seen.append(b.count()), str(tmp_path / "marks"), jobs.Pace(0.1))
         jobs.finish([query])
         assert not query.isActive and sum(seen) == 6
         for _ in range(50):
@@ -99,8 +128,7 @@ def test_lag():
 
 
 def test_fixed_paces():
-    assert (jobs.PACES["columnar"].seconds, jobs.PACES["columnar"].max_rows) == (2, 5000)
-    assert (jobs.PACES["lake"].seconds, jobs.PACES["lake"].max_rows) == (30, 10000)
+    assert {name: pace.seconds for name, pace in jobs.PACES.items()} == {"operational": 0, "columnar": 2, "lake": 30}
 
 
 def test_shared_folder_is_the_named_one(spark):

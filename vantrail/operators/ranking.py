@@ -6,8 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vantrail.session import spool
-
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
     """The first ``n`` rows of each key.
@@ -41,39 +39,28 @@ def running_max_before(
     )
 
 
-def ranked(
-    df: DataFrame, key: str, order: Sequence[Column], hot_rows: int = 2_000_000, slices: int | None = None
-) -> DataFrame:
+def ranked(df: DataFrame, key: str, order: Sequence[Column], slice_of: Column) -> DataFrame:
     """Adds ``rank`` (from 1, in ``order``) and ``total`` per key.
 
-    When every key fits one task this is a plain window. Beyond ``hot_rows`` the
-    rows are range-partitioned on (key, order), which splits a large key over
-    many tasks, written once, and ranked from their position in the partition
-    plus the counts of the earlier partitions.
+    ``slice_of`` is a whole number that never rises along ``order``, such as the day of
+    a descending time. Rows are numbered inside (key, slice), and the counts of a key's
+    earlier slices, which are aggregated map-side, are added. A large key is thereby split
+    over its slices; nothing is read or written while the plan is built.
     """
-    largest = df.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if largest <= hot_rows:
-        whole = Window.partitionBy(key)
-        return df.withColumn("rank", F.row_number().over(whole.orderBy(*order)).cast("bigint")).withColumn(
-            "total", F.count(F.lit(1)).over(whole)
-        )
-    place = [F.col(key), *order]
-    spread = df.repartitionByRange(slices, *place) if slices else df.repartitionByRange(*place)
-    placed = spool(
-        spread.sortWithinPartitions(*place).withColumn("_pos", F.monotonically_increasing_id()), "ranked"
-    ).withColumn("_slice", F.shiftright("_pos", 33))
-    parts = placed.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    sliced = df.withColumn("_slice", F.coalesce(slice_of.cast("bigint"), F.lit(-(1 << 62))))
     per_key = Window.partitionBy(key)
-    earlier = per_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = per_key.orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = sliced.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     parts = parts.select(
-        key,
-        "_slice",
-        "_first",
+        F.col(key).alias("_key"),
+        F.col("_slice").alias("_part"),
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_n").over(per_key).alias("total"),
     )
+    inside = F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order))
     return (
-        placed.join(parts, [key, "_slice"])
-        .withColumn("rank", F.col("_before") + F.col("_pos") - F.col("_first") + 1)
-        .drop("_slice", "_pos", "_first", "_before")
+        sliced.withColumn("_rn", inside)
+        .join(parts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_part")))
+        .withColumn("rank", F.col("_before") + F.col("_rn"))
+        .drop("_slice", "_rn", "_key", "_part", "_before")
     )

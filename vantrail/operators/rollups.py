@@ -196,7 +196,7 @@ def density_in_box(
 
 
 def week_over_week(final: DataFrame) -> DataFrame:
-    """Each country hour next to the same hour one week before."""
+    """Each country hour next to the same hour one week before, or nulls where there was none."""
     now = final.select(
         "origin_country",
         "hour",
@@ -210,7 +210,7 @@ def week_over_week(final: DataFrame) -> DataFrame:
         F.col("velocity").alias("velocity_before"),
     )
     return (
-        now.join(before, ["origin_country", "hour"])
+        now.join(before, ["origin_country", "hour"], "left")
         .withColumn("aircraft_change", F.col("aircraft") - F.col("aircraft_before"))
         .withColumn("velocity_change", F.col("velocity") - F.col("velocity_before"))
     )

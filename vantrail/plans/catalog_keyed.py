@@ -134,8 +134,13 @@ PAGES = (
     "count(*) OVER (PARTITION BY icao24) AS total FROM raw)"
 )
 add("q5_paginate", lambda c: reads.paginate(c.raw, 10), PAGES)
-# The way taken when one aircraft has too many rows for a task.
-add("q5_paginate_large_keys", lambda c: reads.paginate(c.raw, 10, hot_rows=0), PAGES)
+# Narrow slices, as for aircraft with very many rows.
+add("q5_paginate_large_keys", lambda c: reads.paginate(c.raw, 10, slice_seconds=3600), PAGES)
+add(
+    "q4_tracks_top_n_large",
+    lambda c: reads.tracks_top_n(c.raw, 1500),
+    f"SELECT {SEEN} FROM raw QUALIFY row_number() OVER (PARTITION BY icao24 ORDER BY observed_at DESC, event_id DESC) <= 1500",
+)
 add(
     "q6_cursor_token",
     lambda c: c.raw.select("event_id", cursor_token(C("observed_at"), C("event_id")).alias("token")),

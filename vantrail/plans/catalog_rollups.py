@@ -119,6 +119,6 @@ add(
     lambda c: r.week_over_week(r.country_hour_final(r.country_hour_state(c.feed))).withColumn("velocity", F.round(C("velocity") + 1e-9, 6)),
     f"SELECT a.origin_country, a.hour, a.aircraft, round(a.velocity + 1e-9, 6) AS velocity, b.aircraft AS aircraft_before, "
     "round(b.velocity + 1e-9, 6) AS velocity_before, a.aircraft - b.aircraft AS aircraft_change, "
-    f"round(a.velocity - b.velocity + 1e-9, 6) AS velocity_change FROM ({WEEK}) a JOIN ({WEEK}) b "
+    f"round(a.velocity - b.velocity + 1e-9, 6) AS velocity_change FROM ({WEEK}) a LEFT JOIN ({WEEK}) b "
     "ON a.origin_country = b.origin_country AND a.hour = b.hour + INTERVAL 7 DAY",
 )

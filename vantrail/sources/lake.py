@@ -54,11 +54,11 @@ def read_lake(
     return lake
 
 
-def lake_sql(spark: SparkSession, lake: DataFrame, sql: str, limit: int = 10_000, name: str = "telemetry") -> DataFrame:
-    """Run SQL on the lake under a short name; 0 means no cap on the result."""
+def lake_sql(spark: SparkSession, lake: DataFrame, sql: str, limit: int | None = None, name: str = "telemetry") -> DataFrame:
+    """Run SQL on the lake under a short name; ``limit`` caps the result only when it is given."""
     lake.createOrReplaceTempView(name)
     result = spark.sql(sql)
-    return result.limit(limit) if limit > 0 else result
+    return result if limit is None else result.limit(limit)
 
 
 def write_events_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -13,18 +13,13 @@ from vantrail.streaming.sinks import BatchSink
 
 @dataclass(frozen=True)
 class Pace:
-    """How often a consumer runs and how many rows it takes at most per batch."""
+    """How often a consumer runs. Rows per batch are bounded only by ``topic_options(max_offsets=...)``."""
 
     seconds: float
-    max_rows: int | None
 
 
-# Flush rule of each consumer.
-PACES = {
-    "operational": Pace(0, None),
-    "columnar": Pace(2, 5_000),
-    "lake": Pace(30, 10_000),
-}
+# Seconds after which each consumer flushes at the latest.
+PACES = {"operational": Pace(0), "columnar": Pace(2), "lake": Pace(30)}
 
 
 def start(
@@ -43,7 +38,7 @@ def start(
     )
     if drain:
         return writer.trigger(availableNow=True).start()
-    seconds = (pace or PACES.get(name, Pace(0, None))).seconds
+    seconds = (pace or PACES.get(name, Pace(0))).seconds
     return writer.trigger(processingTime=f"{seconds} seconds").start()
 
 
@@ -53,7 +48,7 @@ def start_fanout(
     """One query per sink, each with its own offsets; a slow one holds up no other.
 
     ``stream`` may give each sink its own reader, so that each has its own limit
-    of rows per batch (``topic_options(max_offsets=PACES[name].max_rows)``).
+    of offsets per batch (``topic_options(max_offsets=...)``); without one a batch is all there is.
     """
     return [
         start(stream[name] if isinstance(stream, dict) else stream, name, sink, checkpoint_root, drain=drain)
@@ -80,10 +75,11 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 def stream_dedupe(stream: DataFrame, id: str = "event_id", arrived: str = "ingested_at", hours: int = REPLAY_HOURS) -> DataFrame:
-    """Absorb replays for as long as the topic keeps its log.
+    """Absorb replays for as long as the topic keeps its log. Its ids are kept on disk (RocksDB).
 
     The watermark is on arrival, never on the observation time: a valid
     observation may be a day in the future or many days late, and would then
     move the watermark for, or be dropped by, everyone else.
     """
+    use_rocksdb(stream.sparkSession)
     return stream.withWatermark(arrived, f"{hours} hours").dropDuplicatesWithinWatermark([id])
