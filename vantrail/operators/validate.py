@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from vantrail.functions import computed_once, parse_rfc3339
 from vantrail.schema import (
+    TOO_LARGE,
     ICAO24_PATTERN,
     MAX_FUTURE_HOURS,
     POSITION_SOURCES,
@@ -36,12 +37,16 @@ MESSAGES = {
     "v14": "squawk must be 4 octal digits (0-7): %s",
     "v15": "category out of OpenSky range [0, 20]: %d",
 }
-ACCEPTED_OUTCOME, REFUSED_OUTCOME = 202, 400
+# How a quoted value shows characters that would break its line. The backslash comes first.
+QUOTED = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\x07": "\\a", "\x08": "\\b", "\x0b": "\\v", "\x0c": "\\f", "\x7f": "\\x7f"}
+ACCEPTED_OUTCOME, REFUSED_OUTCOME, TOO_LARGE_OUTCOME = 202, 400, 413
 # -----------------------------------------------------------------------------
 
 
 def _quoted(text: Column) -> Column:
-    inner = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    inner = text
+    for plain, escaped in QUOTED.items():
+        inner = F.replace(inner, F.lit(plain), F.lit(escaped))
     return F.concat(F.lit('"'), inner, F.lit('"'))
 
 
@@ -143,7 +148,9 @@ def ingest_report(bodies: DataFrame, as_of: datetime, events: str = "events", bo
         .drop("_checked")
     )
     refused = F.col(body_error).isNotNull() | ((F.col("accepted") == 0) & (F.col("rejected") > 0))
-    return counted.withColumn("outcome", F.when(refused, REFUSED_OUTCOME).otherwise(ACCEPTED_OUTCOME))
+    too_large = F.col(body_error) == TOO_LARGE
+    outcome = F.when(too_large, TOO_LARGE_OUTCOME).when(refused, REFUSED_OUTCOME).otherwise(ACCEPTED_OUTCOME)
+    return counted.withColumn("outcome", outcome)
 
 
 def quarantine(df: DataFrame, as_of: datetime, name: str = "ingest") -> tuple[DataFrame, Observation]:

@@ -52,8 +52,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def shown(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Result form: times without zone, and computed means rounded alike in both engines.
+def shown(df: DataFrame, rounded: tuple[str, ...], digits: int = 6) -> DataFrame:
+    """Result form: times without zone, and the named sums and means rounded alike in both engines.
 
     The sum of doubles depends on their order in the last digit. The small shift
     keeps that digit from deciding how an exact half is rounded.
@@ -63,17 +63,17 @@ def shown(df: DataFrame, digits: int = 6) -> DataFrame:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
-        elif isinstance(field.dataType, T.DoubleType) and field.name.startswith(("avg_", "sum_", "share", "velocity_")) and field.name != "velocity_ms":
+        elif field.name in rounded:
             c = F.round(c + 1e-9, digits)
         columns.append(c.alias(field.name))
     return df.select(*columns)
 
 
-def add(name: str, build: Build, sql: str | None = None, tables: str = "") -> None:
-    """Register a query. ``sql`` follows the shared views; ``tables`` adds more of them."""
+def add(name: str, build: Build, sql: str | None = None, tables: str = "", rounded: tuple[str, ...] = ()) -> None:
+    """Register a query. ``sql`` follows the shared views; ``tables`` adds more of them; ``rounded`` are its columns that depend on the order of a sum."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return shown(build(Case(prepare(spark), sf_dir)))
+        return shown(build(Case(prepare(spark), sf_dir)), rounded)
 
     if name in QUERIES:
         raise ValueError(f"query {name} is registered twice")

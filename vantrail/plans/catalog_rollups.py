@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import partial
 
 from pyspark.sql import functions as F
 
 from vantrail.operators import rollups as r
-from vantrail.plans.catalog import add
+from vantrail.plans.catalog import add as add_query
 from vantrail.plans.oracle import (
     AVG_VELOCITY,
     COUNTERS,
@@ -22,6 +23,8 @@ from vantrail.plans.oracle import (
 )
 
 C = F.col
+#: Sums and means of speeds and heights, whose last digit depends on the order of the rows.
+add = partial(add_query, rounded=("avg_velocity_ms", "avg_baro_altitude_m", "sum_velocity_ms", "sum_baro_altitude_m", "share", "velocity_before", "velocity_change"))
 HOUR = "date_trunc('hour', observed_at)"
 
 for source, deduped in (("raw", True), ("feed", False)):

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vantrail.functions import computed_once
-from vantrail.schema import EVENT_REQUEST, MAX_BODY_BYTES
+from vantrail.schema import EVENT_REQUEST, MAX_BODY_BYTES, TOO_LARGE
 
 # --- Fixed values: body errors ------------------------------------------------
-TOO_LARGE = f"request body exceeds {MAX_BODY_BYTES} bytes"
 EMPTY_BODY = "empty body"
 NOT_A_CONTAINER = "expected JSON object or array"
 BAD_ARRAY = "invalid JSON array"
