@@ -256,14 +256,17 @@ def links(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     # a node's document is found again by doc_id and by its set, as a doc_id may have several rows
     sets = docs.join(chosen, "doc_id").select("node", "coarse", "text").mapInArrow(_sets(rule), "node long, coarse long, shingles binary")
     blocked = sets.join(sized, "coarse").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    small = blocked.where("blocks = 1").select(F.pmod("coarse", F.lit(groups)).alias("group"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"), "node", "shingles")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with")
-    pairs = blocked.where("blocks > 1").select("coarse", "block", "node", "shingles", other)
-    large = pairs.select(
-        F.col("coarse").alias("group"), F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), (F.col("block") > F.col("with")).cast("int").alias("side"), "node", "shingles"
+    # One exploding step, so that texts and sets are made once: a small group has one place, a block of a large one has a place per pair.
+    own = F.array(F.struct(F.pmod("coarse", F.lit(groups)).alias("group"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side")))
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda w: F.struct(
+            F.col("coarse").alias("group"), (F.least(F.col("block"), w) + 1).alias("i"), (F.greatest(F.col("block"), w) + 1).alias("j"), (F.col("block") > w).cast("int").alias("side")
+        ),
     )
-    large = large.withColumn("i", F.col("i") + 1).withColumn("j", F.col("j") + 1)
-    return small.unionByName(large).groupBy("group", "i", "j").applyInPandas(_searched(rule), "a long, b long")
+    placed = blocked.select("node", "shingles", F.explode(F.when(F.col("blocks") == 1, own).otherwise(pairs)).alias("p"))
+    placed = placed.select("p.group", "p.i", "p.j", "p.side", "node", "shingles")
+    return placed.groupBy("group", "i", "j").applyInPandas(_searched(rule), "a long, b long")
 
 
 def classes(docs: DataFrame, rule: Rule) -> DataFrame:
