@@ -224,7 +224,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by one space), kept_sha256 per row of ``docs``."""
     named = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = named.withColumn("tag", F.xxhash64("text"))
+    # Both joins on doc_id read this one exchange of the texts.
+    texts = named.withColumn("tag", F.xxhash64("text")).repartition("doc_id")
     found = marks(texts, named).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "start", "length")).alias("marks"))
     nameless = docs.where(F.col("doc_id").isNull()).select(F.lit(None).cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     nameless = nameless.withColumn("tag", F.lit(0).cast("long")).withColumn("marks", F.lit(None).cast(found.schema["marks"].dataType))
