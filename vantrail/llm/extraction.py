@@ -5,6 +5,7 @@ parts that are named as something else (menus, adverts, forms, comments, ...) sc
 How much comes from labelled pages: an ``article`` element labels its inside as content and the rest of its
 page as other, and a token's weight is the log-odds of the two, held to its sign. One linear
 scan finds the stretch of the page with the greatest sum. Its blocks, without the named parts inside, are the text.
+Named parts inside an ``article`` score nothing, so they do not cut off what follows them.
 
 All pages with an ``article`` are labelled pages; counts per token kind, at most a few hundred, go to the driver.
 Without any, the default weights stand.
@@ -51,7 +52,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([
 _ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PIECES = re.compile(r"[a-z]+")
 
-DEFAULT = {"word": 1.0, "link word": -0.5, "part word": -1.0, "tag": -0.2}
+DEFAULT = {"word": 1.0, "link word": -0.5, "part word": -1.0, "part tag": -0.2, "tag": -0.2}
 
 
 def named_as_other(attributes: str) -> bool:
@@ -87,7 +88,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
                 close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = close.end() if close else end
             continue
-        yield (f"/{name}" if ends else name), "block" if name in BLOCKS or name in PARTS else "", articles > 0
+        yield ("part tag" if closed else f"/{name}" if ends else name), "block" if name in BLOCKS or name in PARTS else "", articles > 0
         if name == "article" and not closed:
             articles = max(0, articles + (-1 if ends else 1))
         if name == "a":
@@ -128,6 +129,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for page in part.column("html").to_pylist():
                 if page and "<article" in page.lower():
                     for token, value, content in tokens(page):
+                        if token == "part tag":
+                            continue
                         kind = kind_of(token)
                         (inside if content else outside)[kind] += len(value.split()) if kind[0] != "<" else 1
     kinds = sorted(inside.keys() | outside.keys())
@@ -150,7 +153,9 @@ def main_text(page: str, weight: Mapping[str, float]) -> str:
     """The blocks of the stretch with the greatest sum of weights, joined by line breaks."""
     parsed = list(tokens(page))
     best, best_range, total, start = 0.0, (0, 0), 0.0, 0
-    for i, (token, value, _) in enumerate(parsed):
+    for i, (token, value, content) in enumerate(parsed):
+        if content and token in ("part word", "part tag"):
+            continue
         if token == "word" or " " in token:
             total += weight[token] * len(value.split())
         else:
