@@ -128,7 +128,8 @@ def _sets(rule: Rule):
                 sets = shingle_sets(part.column("text"), rule)
                 own = [signature(s)[0] == node for s, node in zip(sets, part.column("node").to_pylist(), strict=True)]
                 shingles = pa.array([s.tobytes() for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("coarse"), shingles], names=["node", "coarse", "shingles"]).filter(pa.array(own))
+                columns = [part.column(c) for c in ("node", "coarse", "blocks")]
+                yield pa.RecordBatch.from_arrays([*columns, shingles], names=["node", "coarse", "blocks", "shingles"]).filter(pa.array(own))
 
     return scan
 
@@ -248,14 +249,15 @@ def links(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     hubs = meet.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub < other")
     coarse = components(meet.join(hubs.select("token", "hub"), "token").select(F.col("node").alias("a"), F.col("hub").alias("b")))
 
-    chosen = spool(nodes.join(coarse, "node").select("doc_id", "node", "n", F.col("label").alias("coarse")), "chosen")
-    weights = chosen.groupBy("coarse").agg(F.sum("n").alias("weight"))
+    grouped = spool(nodes.join(coarse, "node").select("doc_id", "node", "n", F.col("label").alias("coarse")), "coarse")
+    weights = grouped.groupBy("coarse").agg(F.sum("n").alias("weight"))
     total = weights.agg(F.sum("weight").alias("n")).first()["n"] or 0
     groups = max(1, -(-total // BLOCK))
     sized = weights.select("coarse", F.ceil(F.col("weight") / BLOCK).cast("int").alias("blocks"))
-    # a node's document is found again by doc_id and by its set, as a doc_id may have several rows
-    sets = docs.join(chosen, "doc_id").select("node", "coarse", "text").mapInArrow(_sets(rule), "node long, coarse long, shingles binary")
-    blocked = sets.join(sized, "coarse").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    chosen = grouped.join(sized, "coarse").select("doc_id", "node", "coarse", "blocks")
+    # A document is found again by its id and, as an id may have several rows, by its set. Sets are large and are shuffled once.
+    sets = docs.join(chosen, "doc_id").select("node", "coarse", "blocks", "text").mapInArrow(_sets(rule), "node long, coarse long, blocks int, shingles binary")
+    blocked = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # One exploding step, so that texts and sets are made once: a small group has one place, a block of a large one has a place per pair.
     own = F.array(F.struct(F.pmod("coarse", F.lit(groups)).alias("group"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side")))
     pairs = F.transform(
