@@ -48,6 +48,14 @@ def check_rollup_parity(raw: DataFrame, final: DataFrame) -> DataFrame:
     )
 
 
+def check_final_count(table: DataFrame, final: DataFrame, id: str = "event_id") -> DataFrame:
+    """Distinct ids of a table with repeats against the rows of its collapsed view."""
+    ids = table.agg(F.count_distinct(id).alias("ids"))
+    rows = final.agg(F.count(F.lit(1)).alias("final_rows"), F.count_distinct(id).alias("final_ids"))
+    both = ids.unionByName(rows, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("ids", "final_rows", "final_ids")])
+    return both.withColumn("ok", (F.col("ids") == F.col("final_rows")) & (F.col("ids") == F.col("final_ids")))
+
+
 def check_pages_cover_once(pages: DataFrame, table: DataFrame) -> DataFrame:
     """Counts of ids served, missed and served more than once."""
     served = pages.groupBy("event_id").agg(F.count(F.lit(1)).alias("_served"))

@@ -31,7 +31,9 @@ def retain_hot_raw(df, as_of, days: str | int = HOT_RAW_DAYS) -> DataFrame:
 def retain_columnar_raw(df, as_of, days: str | int = COLUMNAR_RAW_DAYS) -> DataFrame:
     """Age at second resolution: the fraction of a second of a row is not looked at."""
     limit = as_of - timedelta(days=days_of(days))
-    return df.filter(F.date_trunc("second", "observed_at") >= F.lit(limit))
+    if limit.microsecond:  # a whole second not below the limit is one not below the next second; this form reaches the scan
+        limit = limit.replace(microsecond=0) + timedelta(seconds=1)
+    return df.filter(F.col("observed_at") >= F.lit(limit))
 
 
 def retain_rollup(df, as_of, days: str | int = ROLLUP_DAYS, bucket: str = "hour") -> DataFrame:

@@ -40,7 +40,7 @@ def apply_outcomes(
     """
     firsts = batch.groupBy("event_id").agg(F.min("seq").alias("_first_seq"))
     if raw is not None:
-        firsts = firsts.join(raw.select("event_id").distinct(), "event_id", "left_anti")
+        firsts = firsts.join(raw.select("event_id"), "event_id", "left_anti")
     marked = (
         running_max_before(batch, "icao24", "seq", "observed_at", "_newest", slice_width)
         # An id and its first arrival are unique together, so a repeated id adds

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vantrail.operators import invariants as i, reads, retention as keep, rollups as r
+from vantrail.operators.dedupe import dedupe_first
 from vantrail.operators.state import latest_state
 from vantrail.plans.catalog import Case, add
 from vantrail.plans.oracle import FIELDS, country_hour, grid
@@ -26,6 +27,11 @@ add(
     "SELECT origin_country, date_trunc('hour', observed_at) AS hour, count(DISTINCT icao24) AS raw_aircraft, "
     "count(DISTINCT icao24) AS rollup_aircraft, true AS ok FROM raw GROUP BY 1, 2",
 )
+add(
+    "i4_final_count",
+    lambda c: i.check_final_count(c.feed, dedupe_first(c.feed)),
+    "SELECT count(DISTINCT event_id) AS ids, count(DISTINCT event_id) AS final_rows, count(DISTINCT event_id) AS final_ids, true AS ok FROM feed",
+)
 add(
     "i5_check_pages_cover_once",
     lambda c: i.check_pages_cover_once(reads.paginate(c.raw, 10), c.raw),

@@ -7,15 +7,17 @@ import json
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from vantrail.sources.wire import decode_topic
 
-def topic_metrics(topic: DataFrame, decoded: DataFrame) -> DataFrame:
-    """Per partition: messages, bytes and decode failures."""
-    size = topic.groupBy("partition").agg(
+
+def topic_metrics(topic: DataFrame) -> DataFrame:
+    """Per partition of topic rows: messages, bytes and decode failures, in one pass."""
+    decoded = decode_topic(topic.withColumn("_bytes", F.coalesce(F.length("value"), F.lit(0))))
+    return decoded.groupBy("partition").agg(
         F.count(F.lit(1)).alias("messages"),
-        F.sum(F.coalesce(F.length("value"), F.lit(0))).alias("bytes"),
+        F.sum("_bytes").alias("bytes"),
+        F.count_if(F.col("error").isNotNull()).alias("decode_failures"),
     )
-    failed = decoded.groupBy("partition").agg(F.count_if(F.col("error").isNotNull()).alias("decode_failures"))
-    return size.join(failed, "partition")
 
 
 def count_decoded(decoded: DataFrame, name: str = "decode") -> DataFrame:
