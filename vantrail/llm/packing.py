@@ -44,6 +44,9 @@ _UNLIKE = re.compile(r"[\S\x1c-\x1f]+")
 #: Rounds of pricing, and how fast the weight of a covered length falls.
 ROUNDS = 100
 RATE = 1.0
+#: Long pieces come first: how much more a token of the longest piece weighs. A configuration must fill this share of a sequence.
+LONGER = 0.2
+FULL = 0.998
 #: Pieces numbered in one task, about.
 SLICE_ROWS = 200_000
 
@@ -149,24 +152,25 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 
 
 def best_configuration(lengths: np.ndarray, weights: np.ndarray, capacity: int) -> np.ndarray:
-    """How many of each length (ascending) to take for the greatest weight that fits: knapsack dynamic programming."""
-    best, choice = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    """How many of each length (ascending) to take: the greatest weight among those that fill FULL to all of the capacity.
+
+    Knapsack dynamic programming over what is filled exactly. All zeros when nothing fills so much.
+    """
+    best, choice = np.full(capacity + 1, -np.inf), np.full(capacity + 1, -1)
+    best[0] = 0.0
     fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for room in range(capacity + 1):
+    for room in range(1, capacity + 1):
         k = fitting[room]
-        best[room] = best[room - 1] if room else 0.0
         if k:
             gains = best[room - lengths[:k]] + weights[:k]
             i = int(gains.argmax())
-            if gains[i] > best[room]:
-                best[room], choice[room] = gains[i], i
-    used, room = np.zeros(len(lengths), np.int64), capacity
-    while room > 0:
-        if choice[room] < 0:
-            room -= 1
-        else:
-            used[choice[room]] += 1
-            room -= int(lengths[choice[room]])
+            best[room], choice[room] = gains[i], i
+    least = int(np.ceil(FULL * capacity))
+    room = least + int(best[least:].argmax())
+    used = np.zeros(len(lengths), np.int64)
+    while room > 0 and best[room] > -np.inf:
+        used[choice[room]] += 1
+        room -= int(lengths[choice[room]])
     return used
 
 
@@ -184,15 +188,17 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROU
     total = np.array([histogram[int(x)] for x in lengths], np.int64)
     left, plan = total.copy(), []
     for _ in range(rounds):
-        open_ = left > 0
-        if not open_.any():
+        enough = left >= np.maximum(1, capacity // lengths)  # a configuration never needs more of a length than this
+        if not enough.any():
             break
-        some, there = lengths[open_], left[open_]
-        weights = some * np.exp(-RATE * (1 - there / total[open_]))
-        used = np.minimum(best_configuration(some, weights, capacity), there)
+        some, there = lengths[enough], left[enough]
+        weights = some * (1 + LONGER * some / capacity) * np.exp(-RATE * (1 - there / total[enough]))
+        used = best_configuration(some, weights, capacity)
+        if not used.any():
+            break  # what is left can no longer fill a sequence
         times = int((there[used > 0] // used[used > 0]).min())
         plan.append((times, [(int(x), int(n)) for x, n in zip(some[::-1], used[::-1], strict=True) if n]))
-        left[open_] -= used * times
+        left[enough] -= used * times
     return best_fit({int(x): int(n) for x, n in zip(lengths, left, strict=True) if n}, capacity, plan)
 
 
