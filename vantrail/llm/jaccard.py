@@ -6,11 +6,12 @@ of them (a T-occurrence problem), and at least ``k`` of the first n - T + k in a
 
 1. One scan makes each set and its signature. Equal sets are one node of the graph, however many
    documents have them.
-2. *Candidates.* Every set lists its first n - T + k shingles in hash order, k about n / 20. The
+2. *Candidates.* Every set lists its first n - T + k shingles in hash order, k about n / 8. The
    sets that list a shingle are counted over all documents. A set can have a partner only if enough of
    its listed shingles are listed elsewhere too; ordered by that count, its rarest
    ones must meet every partner, so frequent passages do not bring documents together.
-   Sets that meet form coarse groups, by one edge per set and shingle.
+   Sets that meet form coarse groups, by one edge per set and shingle, and a group is cut into bands of
+   sizes that partners can have.
 3. *Search.* A coarse group, or each pair of blocks of a large one, is searched by DivideSkip:
    the short inverted lists of a set are merged and counted, the L longest are only probed
    for those that reached T - L. Pairs that earlier links already connect are not checked
@@ -29,6 +30,7 @@ when all its ids are null. Columns beyond doc_id and text are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -58,7 +60,7 @@ class Rule:
         return -(-n * self.num // self.den)
 
     def extra(self, n):
-        return n // 20 + 1
+        return n // 8 + 1
 
     def listed(self, n):
         """Length of the list in hash order."""
@@ -128,8 +130,7 @@ def _sets(rule: Rule):
                 sets = shingle_sets(part.column("text"), rule)
                 own = [signature(s)[0] == node for s, node in zip(sets, part.column("node").to_pylist(), strict=True)]
                 shingles = pa.array([s.tobytes() for s in sets], pa.binary())
-                columns = [part.column(c) for c in ("node", "coarse", "blocks")]
-                yield pa.RecordBatch.from_arrays([*columns, shingles], names=["node", "coarse", "blocks", "shingles"]).filter(pa.array(own))
+                yield pa.RecordBatch.from_arrays([part.column("node"), part.column("places"), shingles], names=["node", "places", "shingles"]).filter(pa.array(own))
 
     return scan
 
@@ -151,9 +152,9 @@ def _meeting(rule: Rule):
                 tokens.append(token[a:b][order])
                 owners.append(np.full(len(order), i))
             owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64)), batch.column("node").take(pa.array(owner.astype(np.int64)))], names=["token", "node"]
-            )
+            at = pa.array(owner.astype(np.int64))
+            columns = [pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64)), batch.column("node").take(at), batch.column("n").take(at)]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "node", "n"])
 
     return choose
 
@@ -170,11 +171,13 @@ class Forest:
         return int(i)
 
 
-def divide_skip(sets: list[np.ndarray], side: np.ndarray, rule: Rule) -> list[tuple[int, int]]:
-    """Tree edges of the links between sets; with two sides, only of those from one side to the other or within both.
+def divide_skip(sets: list[np.ndarray], side: np.ndarray, rule: Rule, low: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Tree edges of the links between sets.
 
     ``side`` is 0 for all, or 0 and 1 for the blocks of a pair, where only links across are sought.
+    Links between two sets that are ``low`` are left to the group of their own band.
     """
+    low = np.zeros(len(sets), bool) if low is None else low.astype(bool)
     sizes = np.array([len(s) for s in sets])
     across = bool(side.any()) and not side.all()
     order = np.argsort(sizes, kind="stable")
@@ -185,7 +188,7 @@ def divide_skip(sets: list[np.ndarray], side: np.ndarray, rule: Rule) -> list[tu
     begins = np.cumsum(counts) - counts
     firsts = np.cumsum(sizes[order]) - sizes[order]
     forest, edges, roots = Forest(len(order)), [], np.arange(len(order))
-    which = side[order]
+    which, below = side[order], low[order]
     for q in range(len(order)):
         n = int(sizes[order[q]])
         if not n:
@@ -207,6 +210,8 @@ def divide_skip(sets: list[np.ndarray], side: np.ndarray, rule: Rule) -> list[tu
         there = there[sizes[order[there]] >= need]
         if across:
             there = there[which[there] != which[q]]
+        if below[q]:
+            there = there[~below[there]]
         me = forest.root(q)
         there = np.array([c for c in there.tolist() if forest.root(c) != me], np.int64)
         if not len(there):
@@ -233,42 +238,53 @@ def _searched(rule: Rule):
     def search(group: pd.DataFrame) -> pd.DataFrame:
         nodes = group["node"].to_numpy(np.int64)
         sets = [np.frombuffer(s, np.uint64) for s in group["shingles"]]
-        edges = divide_skip(sets, group["side"].to_numpy(), rule)
+        edges = divide_skip(sets, group["side"].to_numpy(), rule, group["low"].to_numpy())
         return pd.DataFrame({"a": nodes[[a for a, _ in edges]], "b": nodes[[b for _, b in edges]]}) if edges else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
 
     return search
 
 
+_PLACES = "array<struct<coarse:bigint,band:bigint,low:boolean,blocks:int>>"
+
+
+def _bands(n: str, rule: Rule):
+    """A set's band of sizes, and the next one, where it is low: partners differ by one band at most.
+
+    Bands are a trifle wider than the rule asks, so that rounding cannot part two partners.
+    """
+    band = F.floor(F.log(n) / (math.log(rule.den / rule.num) * (1 + 1e-6)))
+    return F.explode(F.array(F.struct(band.alias("band"), F.lit(False).alias("low")), F.struct((band + 1).alias("band"), F.lit(True).alias("low")))).alias("b")
+
+
 def links(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     """Tree edges (a, b) between the nodes that links connect. ``nodes``: node, doc_id of one document that has the set, n."""
     texts = docs.select("text").where(F.col("text").isNotNull())
     tokens = texts.mapInArrow(_listed(rule), "token long, node long, n int")
     shared = spool(tokens.groupBy("token").agg(F.count("*").alias("lists")).where("lists > 1"), "shingles")
     found = tokens.join(shared, "token").groupBy("node", "n").agg(F.collect_set(F.struct("token", "lists")).alias("found"))
-    meet = spool(found.mapInArrow(_meeting(rule), "token long, node long"), "meetings")
-    hubs = meet.groupBy("token").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub < other")
-    coarse = components(meet.join(hubs.select("token", "hub"), "token").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-
-    grouped = spool(nodes.join(coarse, "node").select("doc_id", "node", "n", F.col("label").alias("coarse")), "coarse")
-    weights = grouped.groupBy("coarse").agg(F.sum("n").alias("weight"))
-    total = weights.agg(F.sum("weight").alias("n")).first()["n"] or 0
+    meet = spool(found.mapInArrow(_meeting(rule), "token long, node long, n int").select("token", "node", _bands("n", rule)).select("token", "node", "b.*"), "meetings")
+    # Of the sets with one shingle and of neighbouring bands, one is the hub; at least one of them must not be low.
+    hubs = meet.groupBy("token", "band").agg(F.min("node").alias("hub"), F.max("node").alias("other"), F.min("low").alias("low")).where("hub < other and not low")
+    coarse = components(meet.join(hubs.select("token", "band", "hub"), ["token", "band"]).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+
+    member = nodes.join(coarse, "node").select("doc_id", "node", "n", F.col("label").alias("coarse"), _bands("n", rule)).select("doc_id", "node", "n", "coarse", "b.*")
+    member = spool(member, "members")
+    weights = member.groupBy("coarse", "band").agg(F.sum("n").alias("weight"), F.count("*").alias("sets"), F.min("low").alias("low")).where("sets > 1 and not low")
+    sized = spool(weights.select("coarse", "band", "weight", F.ceil(F.col("weight") / BLOCK).cast("int").alias("blocks")), "groups")
+    total = sized.agg(F.sum("weight").alias("n")).first()["n"] or 0
     groups = max(1, -(-total // BLOCK))
-    sized = weights.select("coarse", F.ceil(F.col("weight") / BLOCK).cast("int").alias("blocks"))
-    chosen = grouped.join(sized, "coarse").select("doc_id", "node", "coarse", "blocks")
-    # A document is found again by its id and, as an id may have several rows, by its set. Sets are large and are shuffled once.
-    sets = docs.join(chosen, "doc_id").select("node", "coarse", "blocks", "text").mapInArrow(_sets(rule), "node long, coarse long, blocks int, shingles binary")
-    blocked = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # One exploding step, so that texts and sets are made once: a small group has one place, a block of a large one has a place per pair.
-    own = F.array(F.struct(F.pmod("coarse", F.lit(groups)).alias("group"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side")))
+    placed = member.join(sized, ["coarse", "band"]).groupBy("doc_id", "node").agg(F.collect_list(F.struct("coarse", "band", "low", "blocks")).alias("places"))
+    # A document is found again by its id and, as an id may have several rows, by its set. Sets are large and are shuffled once, to their groups.
+    sets = docs.join(placed, "doc_id").select("node", "places", "text").mapInArrow(_sets(rule), f"node long, places {_PLACES}, shingles binary")
+    one = sets.select("node", "shingles", F.explode("places").alias("p"))
+    one = one.select("node", "shingles", "p.*").withColumn("key", F.xxhash64("coarse", "band")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    own = F.array(F.struct(F.pmod("key", F.lit(groups)).alias("group"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side")))
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda w: F.struct(
-            F.col("coarse").alias("group"), (F.least(F.col("block"), w) + 1).alias("i"), (F.greatest(F.col("block"), w) + 1).alias("j"), (F.col("block") > w).cast("int").alias("side")
-        ),
+        lambda w: F.struct(F.col("key").alias("group"), (F.least(F.col("block"), w) + 1).alias("i"), (F.greatest(F.col("block"), w) + 1).alias("j"), (F.col("block") > w).cast("int").alias("side")),
     )
-    placed = blocked.select("node", "shingles", F.explode(F.when(F.col("blocks") == 1, own).otherwise(pairs)).alias("p"))
-    placed = placed.select("p.group", "p.i", "p.j", "p.side", "node", "shingles")
-    return placed.groupBy("group", "i", "j").applyInPandas(_searched(rule), "a long, b long")
+    spread = one.select("node", "low", "shingles", F.explode(F.when(F.col("blocks") == 1, own).otherwise(pairs)).alias("p")).select("node", "low", "shingles", "p.*")
+    return spread.groupBy("group", "i", "j").applyInPandas(_searched(rule), "a long, b long")
 
 
 def classes(docs: DataFrame, rule: Rule) -> DataFrame:
