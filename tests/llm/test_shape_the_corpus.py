@@ -110,6 +110,18 @@ def test_mix_meets_its_targets(spark):
     assert abs(terms[0] - np.exp(-2)) < 1e-12 and abs(terms[3] - np.exp(-2) * (1 + 2 + 2 + 4 / 3)) < 1e-12 and terms[-1] == pytest.approx(1)
 
 
+def test_mix_repeats_a_rare_source_in_full(spark):
+    """A source of 0.01% of the characters needs 5000 copies of each document for half of the mixture."""
+    rare = spark.range(4).select(F.col("id").alias("doc_id"), F.lit("x" * 10).alias("text"), F.lit("rare").alias("source"))
+    common = spark.range(4, 4004).select(F.col("id").alias("doc_id"), F.lit("x" * 100).alias("text"), F.lit("common").alias("source"))
+    out = mixing.mix(rare.unionByName(common))
+    sizes = {r["source"]: r["chars"] for r in out.groupBy("source").agg(F.sum(F.length("text")).alias("chars")).collect()}
+    assert abs(sizes["rare"] / 200_000 - 1) < 0.03 and abs(sizes["common"] / 200_000 - 1) < 0.1
+    each = out.where("source = 'rare'").groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("_copy").alias("copies"), F.max("_copy").alias("last")).collect()
+    assert len(each) == 4 and all(abs(r["n"] - 5000) < 350 and r["n"] == r["copies"] == r["last"] for r in each)
+    assert len({r["n"] for r in each}) > 1
+
+
 def test_mix_odd_cases(odd_documents, documents):
     assert mixing.mix(documents().limit(0)).count() == 0
     out = mixing.mix(odd_documents.drop("_copy", "_place"))

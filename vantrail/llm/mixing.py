@@ -4,7 +4,8 @@ Every document gets a number of copies drawn from a Poisson distribution whose m
 the repetition rate of its source: the target share of the source times all characters,
 divided by the characters the source has. The draw inverts the distribution at a
 uniform number hashed from the seed and the doc_id, so it is the same in every
-retry and on every cluster. Copies are then dealt to random partitions and put in random order there.
+retry and on every cluster. A rate beyond ``MOST_REPEATS`` is drawn as a sum of independent Poisson
+numbers of equal means, which is Poisson of the whole rate. Copies are then dealt to random partitions and put in random order there.
 
 All is built-in Spark SQL. Characters are summed map-side, the table of rates has one
 row per named target, and copies are made row by row, so one source holding a
@@ -24,15 +25,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 #: The list of targets is a setting made by a person; it travels to every task.
 MOST_TARGETS = 10_000
 SEED = 17
-#: Largest repetition rate: beyond it a target cannot be met by sensible repetition and the caller must know.
+#: Largest mean of one draw; a larger rate is drawn in several parts.
 MOST_REPEATS = 64.0
 #: Terms of the inverted distribution. At a mean of 64 the rest has a probability below 2**-60.
 TERMS = 160
 
 
-def uniform(key: Column, seed: int) -> Column:
-    """A number in (0, 1) from the SHA-256 of seed and key: 52 bits, and the middle of its cell."""
-    digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("null"))), 256)
+def uniform(key: Column, seed: int, part: Column | None = None) -> Column:
+    """A number in (0, 1) from the SHA-256 of seed and key: 52 bits, and the middle of its cell. Parts after part 0 have seeds of their own."""
+    named = F.lit(str(seed)) if part is None else F.when(part == 0, str(seed)).otherwise(F.concat_ws(".", F.lit(str(seed)), part.cast("string")))
+    digest = F.sha2(F.concat_ws(":", named, F.coalesce(key.cast("string"), F.lit("null"))), 256)
     return (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
 
 
@@ -61,19 +63,21 @@ def rates(docs: DataFrame, targets: Mapping[str | None, float] | None) -> DataFr
     everything = Window.partitionBy(F.lit(0))  # one row per source
     share = F.col("weight") / F.sum("weight").over(everything)
     rate = F.when(F.col("chars") == 0, 1.0).otherwise(share * F.sum("chars").over(everything) / F.col("chars"))
-    return weighted.select("source", F.least(rate, F.lit(MOST_REPEATS)).alias("rate"))
+    return weighted.select("source", rate.alias("rate"))
 
 
 def mix(docs: DataFrame, targets: Mapping[str | None, float] | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` with ``_copy`` (1, 2, ...), one row per drawn copy, in global random order.
 
-    Rates beyond MOST_REPEATS are held there. Extra columns are carried along.
+    Extra columns are carried along.
     """
-    per_source = rates(docs.select("source", "text"), targets).select(F.col("source").alias("_source"), poisson_terms(F.col("rate")).alias("_terms"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / MOST_REPEATS).cast("int"))
+    rated = rates(docs.select("source", "text"), targets).withColumn("_parts", parts)
+    per_source = rated.select(F.col("source").alias("_source"), "_parts", poisson_terms(F.col("rate") / F.col("_parts")).alias("_terms"))
     drawn = docs.join(per_source, docs["source"].eqNullSafe(per_source["_source"]), "inner")
-    u = uniform(F.col("doc_id"), seed)
-    copies = F.size(F.filter(F.col("_terms"), lambda c: c < F.col("_u")))
-    counted = drawn.withColumn("_u", u).withColumn("_n", copies).where("_n > 0").drop("_terms", "_u", "_source")
+    u = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda part: uniform(F.col("doc_id"), seed, part))
+    copies = F.aggregate(F.col("_u"), F.lit(0), lambda n, x: n + F.size(F.filter(F.col("_terms"), lambda c: c < x)))
+    counted = drawn.withColumn("_u", u).withColumn("_n", copies).where("_n > 0").drop("_terms", "_u", "_source", "_parts")
     several = counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
     place = F.xxhash64(F.col("doc_id"), F.col("_copy"), F.lit(seed))
     return several.withColumn("_place", place).repartition("_place").sortWithinPartitions("_place").drop("_place")
