@@ -84,6 +84,25 @@ def test_random_strings_are_found_and_others_not(documents):
     assert all("random" not in r["spans"] for r in rows[60:])
 
 
+CLEAN = (
+    "src/main/java/HttpServer2", "assets/Images2024/headerLogo", "getUserAccountById2ForUpdate", "XmlHttpRequestFactory2Impl", "docs/Release-Notes-2023-11", "com/products/ShoeSize42/overview",
+    "convertUtf8StringToBuffer", "wiki/History_of_Germany_1871", "blob/main/Chapter3/Exercise12", "TestCase17_UserLoginFails", "static/Fonts/OpenSans400Regular", "2024-01-15-Annual-Report-final",
+    "MAX_NUMBER_OF_CONNECTIONS_2", "internal/Controller2/handleRequest", "ConfigurationManagerV2Factory", "BaseModel3DatabaseConnection",
+)
+
+
+def test_ordinary_names_are_no_secrets(documents):
+    """Of clean names of 20 to 40 characters none is reported, alone or beside secrets of the same length."""
+    rng = random.Random(3)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(alphabet) for _ in range(24)) for _ in range(40)]
+    keys = [k for k in keys if re.search("[0-9]", k)]
+    for secrets in ([], keys):
+        rows = secret_scan.scan_secrets(documents(*(f"see {c} there" for c in (*CLEAN, *secrets)))).orderBy("doc_id").collect()
+        assert [c for c, r in zip(CLEAN, rows, strict=False) if r["n_random"]] == []
+        assert sum(r["n_random"] for r in rows[len(CLEAN) :]) >= 0.95 * len(secrets)
+
+
 def test_contexts_give_identifiers_away(documents):
     seeds = [f"please call line +1 (555) 555-{i:04d} now or later" for i in range(30)]
     df = documents(*seeds, "please call line 5550-1234567 now or later", "the number 5550-1234567x is on another page", "chapter 12345678 ends")
