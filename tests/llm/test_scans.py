@@ -103,6 +103,20 @@ def test_ordinary_names_are_no_secrets(documents):
         assert sum(r["n_random"] for r in rows[len(CLEAN) :]) >= 0.95 * len(secrets)
 
 
+def test_random_strings_of_few_kinds_are_found(documents):
+    """Keys of one letter case with digits, of a licence's form and of 16 to 19 characters, beside clean names of these kinds."""
+    rng = random.Random(5)
+    small, capitals, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    make = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    keys = [make(letters, n) for letters in (small + "234567", small + digits, capitals + digits) for n in (17, 20, 24, 32, 40) for _ in range(8)]
+    keys += ["-".join(make(capitals + digits, 5) for _ in range(5)) for _ in range(8)] + [make(small + capitals + digits, n) for n in (16, 17, 18, 19) for _ in range(8)]
+    clean = ("release-notes-for-version-2", "internationalisation", "abcdefghijklmnopqrstuvwxyz0123456789", "MAX-CONNECTIONS-2024", "chapter12-section34-page56", "user-guide-2nd-edition", "gesellschaftskapitaen")
+    rows = secret_scan.scan_secrets(documents(*(f"see {c} there" for c in (*clean, *keys)))).orderBy("doc_id").collect()
+    assert [c for c, r in zip(clean, rows, strict=False) if r["n_random"]] == []
+    found = sum(f"random:4:{4 + len(k)}" in r["spans"] for k, r in zip(keys, rows[len(clean) :], strict=True))
+    assert found >= 0.95 * len(keys)
+
+
 def test_contexts_give_identifiers_away(documents):
     seeds = [f"please call line +1 (555) 555-{i:04d} now or later" for i in range(30)]
     df = documents(*seeds, "please call line 5550-1234567 now or later", "the number 5550-1234567x is on another page", "chapter 12345678 ends")

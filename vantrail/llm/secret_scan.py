@@ -1,7 +1,7 @@
 """Secrets in texts: fixed patterns, and strings that look random by a battery of tests.
 
-A candidate is a run of at least ``SHORTEST`` characters of one encoding's alphabet, of as many kinds of
-characters (capitals, small letters, digits) as that encoding needs. Three tests ask whether its
+A candidate is a run of at least ``SHORTEST`` characters, whichever kinds (capitals, small letters, digits, signs) it
+holds. Its encoding is the one with the smallest alphabet that has them all. Three tests ask whether its
 symbols are uniform and independent draws: chi-squared of the counts, Wald-Wolfowitz runs
 about the middle of the alphabet, and serial correlation. Stouffer's sum combines them into one p-value;
 runs that it finds orderly are no secrets.
@@ -40,31 +40,39 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 
-SHORTEST = 20
+SHORTEST = 16
 FALSE = 0.01
 #: A run is orderly below this p of the battery; about this share of the random strings is lost by it.
 ORDERLY = 1e-4
 #: p-values are counted in steps of a tenth of a power of ten, down to 10**-30.
 STEPS_PER_POWER, LAST_STEP = 10, 300
 
-#: Encoding: alphabet, and a pattern of what else a run must hold.
+_CAPITALS, _SMALLS, _DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+#: Encoding: alphabet. The last one holds every candidate.
 ENCODINGS = {
-    "base32": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", r"(?=[^2-7]*[2-7])(?=[^A-Z]*[A-Z])"),
-    "hex_capitals": ("0123456789ABCDEF", r"(?=[^0-9]*[0-9])(?=[^A-F]*[A-F])"),
-    "alphanumeric": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", r"(?=[^0-9]*[0-9])(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])"),
-    "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", r"(?=[^0-9]*[0-9])(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])"),
-    "base64_url": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-", r"(?=[^0-9]*[0-9])(?=[^A-Z]*[A-Z])(?=[^a-z]*[a-z])"),
+    "hex_capitals": _DIGITS + "ABCDEF",
+    "hex_dashes": _DIGITS + "abcdef-",
+    "hex_capitals_dashes": _DIGITS + "ABCDEF-",
+    "base32": _CAPITALS + "234567",
+    "base32_small": _SMALLS + "234567",
+    "base36": _CAPITALS + _DIGITS,
+    "base36_small": _SMALLS + _DIGITS,
+    "licence": _CAPITALS + _DIGITS + "-",
+    "licence_small": _SMALLS + _DIGITS + "-",
+    "alphanumeric": _CAPITALS + _SMALLS + _DIGITS,
+    "base64": _CAPITALS + _SMALLS + _DIGITS + "+/",
+    "base64_url": _CAPITALS + _SMALLS + _DIGITS + "_-",
+    "any": _CAPITALS + _SMALLS + _DIGITS + "+/_-",
 }
 _NAMES = list(ENCODINGS)
 _RUN = re.compile(rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}")
-_WHOLE = [re.compile(f"{needs}[{re.escape(alphabet)}]+", re.ASCII) for alphabet, needs in ENCODINGS.values()]
-_INDEX = [{c: i for i, c in enumerate(sorted(alphabet))} for alphabet, _ in ENCODINGS.values()]
+_INDEX = [{c: i for i, c in enumerate(sorted(alphabet))} for alphabet in ENCODINGS.values()]
 
 
-def inferred(run: str) -> int | None:
-    """The encoding with the smallest alphabet that holds every character of the run."""
-    fits = [k for k, whole in enumerate(_WHOLE) if whole.fullmatch(run)]
-    return min(fits, key=lambda k: len(_INDEX[k])) if fits else None
+def inferred(run: str) -> int:
+    """The encoding with the smallest alphabet that holds every character of the run; of equal ones the first."""
+    used = set(run)
+    return min((k for k, index in enumerate(_INDEX) if used <= index.keys()), key=lambda k: len(_INDEX[k]))
 
 
 def p_random(run: str, encoding: int) -> float:
@@ -189,10 +197,9 @@ def candidates(text: str, known: list[tuple[int, int, int]], model: np.ndarray)
         if any(s < m.end() and m.start() < e for s, _, e in known):
             continue
         encoding = inferred(m[0])
-        if encoding is not None:
-            p = p_ordinary(m[0], encoding, model) if p_random(m[0], encoding) >= ORDERLY else 1.0
-            step = min(LAST_STEP, int(-math.log10(max(p, 1e-300)) * STEPS_PER_POWER))
-            out.append((m.start(), m.end(), encoding * 64 + len(m[0]).bit_length(), step))
+        p = p_ordinary(m[0], encoding, model) if p_random(m[0], encoding) >= ORDERLY else 1.0
+        step = min(LAST_STEP, int(-math.log10(max(p, 1e-300)) * STEPS_PER_POWER))
+        out.append((m.start(), m.end(), encoding * 64 + len(m[0]).bit_length(), step))
     return out
 
 
