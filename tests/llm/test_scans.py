@@ -125,6 +125,27 @@ def test_contexts_give_identifiers_away(documents):
     assert rows[31]["spans"] == "" and rows[32]["spans"] == ""
 
 
+@pytest.mark.parametrize("share", [0.2, 0.3, 0.5])
+def test_contexts_with_many_unseen_identifiers(documents, share):
+    """Unseen identifiers in a context of seeds are found, also behind one fixed word only; other words in the same place are not."""
+    unseen = int(60 * share)
+    names = [f"name{chr(97 + i % 26)}{chr(97 + i // 26)}".replace("name", "n") for i in range(60)]
+    numbers = [f"5550-{1234567 + i}" if i < unseen else f"+1 (555) 555-{i:04d}" for i in range(60)]
+    lines = [f"{name} phone: {number} {name[::-1]}" for name, number in zip(names, numbers, strict=True)]
+    others = [f"see page {1000000 + i} of it" for i in range(40)] + [f"of page +1 (555) 777-{i:04d} too" for i in range(6)]
+    rows = identifiers.find_identifiers(documents(*lines, *others)).orderBy("doc_id").collect()
+    assert all("like_phone" in r["spans"] for r in rows[:unseen])
+    assert all("like_" not in r["spans"] for r in rows[unseen:])
+
+
+def test_contexts_beyond_long_words():
+    """Words before and behind a slot are whole, however far they reach."""
+    for word in ("x" * 150, "x" * 3000):
+        found = {tuple(identifiers.slots(f"{a} {b} 12345678 {c}", [])[0][4]) for a, b, c in ((word, "call", "now"), ("y" + word[1:], "call", "now"), ("call", word, "now"), ("call", "y" + word[1:], "now"), ("a", "call", word + "y"), ("a", "call", word + "z"))}
+        assert len(found) == 6
+    assert identifiers.slots("some words" + " " * 300 + "12345678", [])[0][4] == ["l words", "b some words", "s words $"]
+
+
 PAGE = """<html><head><title>Site</title><script>if (a < b) document.write("<p>no</p>")</script></head><body>
 <header><h1>The Site</h1></header><nav><ul><li><a href=/a>One</a><li><a href=/b>Two</a></ul></nav>
 <div id="cookie-notice">We use cookies on this site, as all sites do.</div><div class="wrapper no-sidebar"><div class="sidebar"><p>Words beside the text that go on and on.</p></div>

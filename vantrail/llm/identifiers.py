@@ -1,12 +1,13 @@
 """Personal data: fixed patterns, and identifiers that contexts learnt from them give away.
 
 Bootstrapping. The matches of the fixed patterns are seeds. A *slot* is a word with a digit or an
-``@``; its *instance* is the word itself, its *patterns* are the two words before it and the words on both
+``@``; its *instance* is the word itself, its *patterns* are the word before it, the two words before it and the words on both
 sides. Slots are edges of a graph of patterns and instances. In each round, a pattern's
-confidence for a kind is the share of its slots, one per document and instance, that are filled by instances
-of this kind, and an instance's score is what its patterns make likely together. A pattern that is
-confident, and was seen in enough documents, with enough different seeds, marks the other
-words in its slots. All documents count, and sums are built map-side, so a pattern or
+confidence for a kind is the share that instances of this kind have of its slots, one per document and instance, that
+speak for or against it: slots of another kind, and words that cannot be of this kind, speak against; unseen words
+that can be are unlabelled. An instance's score is what its patterns make likely together. A pattern that is
+confident, and was seen in enough documents, with enough different seeds that fill ``LEAST_SHARE`` of all its slots, marks the other
+words in its slots; these are seeds of the next round. All documents count, and sums are built map-side, so a pattern or
 word that a third of all documents have needs no special care.
 
 Defined cases: a null or empty text has no spans; repeated rows are scanned each and count once
@@ -17,10 +18,11 @@ doc_id and text are not read. Time is linear in the text.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vantrail.llm.secret_scan import digest, joined
 from vantrail.llm.words import slices
@@ -39,9 +41,14 @@ ROUNDS = 3
 #: A pattern speaks when this share of its slots is of one kind, in so many documents and with so many different seeds.
 CONFIDENT, LEAST_DOCS, LEAST_SEEDS = 0.9, 5, 4
 ACCEPTED = 0.9
+#: Known instances must fill this share of a pattern's slots, or the unseen ones are no likely neighbours of theirs.
+LEAST_SHARE = 1 / 3
+#: Longer words stand in patterns as a hash.
+LONG = 100
 #: Digits that a discovered word must have, by kind; an address needs its @ instead.
 LEAST_DIGITS = {1: 4, 2: 12, 3: 7}
 
+_BASE, _PRIME = 1_000_003, (1 << 61) - 1
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _SLOT = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 
@@ -99,13 +106,28 @@ def slots(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int,
             out.append((m.start(), m.end(), merged_kind))
     out += merged
     result = []
+    words = [m.span() for m in _WORD.finditer(text)] if out else []
+    starts, stops = [a for a, _ in words], [b for _, b in words]
+    sums: dict[int, list[int]] = {}
+
+    def key(i: int, a: int, b: int) -> str:
+        """The part from a to b of word i, in small letters; linear in the text also when many slots share a long word."""
+        if b - a <= LONG:
+            return text[a:b].lower()
+        if i not in sums:
+            total = [0]
+            for c in text[starts[i] : stops[i]]:
+                total.append((total[-1] * _BASE + ord(c.lower()[0])) % _PRIME)
+            sums[i] = total
+        first = starts[i]
+        return f"#{b - a}:{(sums[i][b - first] - sums[i][a - first] * pow(_BASE, b - a, _PRIME)) % _PRIME}"
+
     for s, e, k in sorted(out):
-        before = _WORD.findall(text[max(0, s - 200) : s])[-2:] if s else []
-        after = _WORD.search(text, e)
-        left = before[-1].lower() if before else "^"
-        pair = " ".join(before).lower() if before else "^"
-        right = after[0][:100].lower() if after else "$"
-        result.append((s, e, k, text[s:e], [f"b {pair}", f"s {left} {right}"]))
+        i, j = bisect_left(starts, s) - 1, bisect_right(stops, e)
+        left = key(i, starts[i], min(stops[i], s)) if i >= 0 else "^"
+        pair = f"{key(i - 1, *words[i - 1])} {left}" if i >= 1 else left
+        right = key(j, max(starts[j], e), stops[j]) if j < len(words) else "$"
+        result.append((s, e, k, text[s:e], [f"l {left}", f"b {pair}", f"s {left} {right}"]))
     return result
 
 
@@ -131,23 +153,40 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row"), *columns], names=names)
 
 
+def fits(word: Column, kind: Column) -> Column:
+    """Whether a word has what a discovered one of the kind must have."""
+    digits = F.length(F.regexp_replace(word, "[^0-9]", ""))
+    out = F.when(kind == 0, F.contains(word, F.lit("@")))
+    for k, least in LEAST_DIGITS.items():
+        out = out.when(kind == k, digits >= least)
+    return F.coalesce(out, F.lit(False))
+
+
 def discovered(found: DataFrame) -> DataFrame:
     """row, start, end, kind of the slots that confident patterns give away."""
-    slot = found.select("row", "doc_id", F.explode("slots").alias("s")).select("row", "doc_id", "s.*").withColumn("instance", F.sha2("instance", 256))
-    edges = slot.select("doc_id", "instance", "kind", F.explode("patterns").alias("pattern"))
-    edges = spool(edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.approx_count_distinct("doc_id").alias("docs")), "pattern-graph")
-    scores = edges.where("kind >= 0").groupBy("instance").agg(F.max("kind").alias("kind")).withColumn("score", F.lit(1.0))
-    for _ in range(ROUNDS):
-        scored = edges.select("pattern", "instance", "docs").join(scores, "instance", "left")
-        total = scored.groupBy("pattern").agg(F.sum("docs").alias("slots"))
+    slot = found.select("row", "doc_id", F.explode("slots").alias("s")).select("row", "doc_id", "s.*")
+    slot = slot.withColumn("fits", F.array(*(fits(F.col("instance"), F.lit(k)) for k in range(len(KINDS))))).withColumn("instance", F.sha2("instance", 256))
+    edges = slot.select("doc_id", "instance", "kind", "fits", F.explode("patterns").alias("pattern"))
+    edges = edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"), F.first("fits").alias("fits"), F.countDistinct("doc_id").alias("docs"))
+    edges = spool(edges, "pattern-graph")
+    seeds = edges.where("kind >= 0").groupBy("instance").agg(F.max("kind").alias("kind")).withColumn("score", F.lit(1.0))
+    scores = seeds
+    for turn in range(ROUNDS):
+        scored = edges.select("pattern", "instance", "docs", "fits").join(scores, "instance", "left")
+        unseen = F.array(*(F.sum(F.when(F.col("score").isNull() & F.col("fits")[k], F.col("docs")).otherwise(0)) for k in range(len(KINDS))))
+        total = scored.groupBy("pattern").agg(F.sum("docs").alias("slots"), unseen.alias("unseen"))
         support = scored.where("score is not null").groupBy("pattern", "kind").agg(F.sum(F.col("docs") * F.col("score")).alias("weight"), F.count("*").alias("seeds"), F.sum("docs").alias("in_docs"))
         rule = support.where((F.col("seeds") >= LEAST_SEEDS) & (F.col("in_docs") >= LEAST_DOCS)).join(total, "pattern")
-        rule = spool(rule.withColumn("confidence", F.col("weight") / (F.col("slots") + 1)).where(F.col("confidence") >= CONFIDENT).select("pattern", "kind", "confidence"), "patterns")
+        rule = rule.withColumn("confidence", F.col("weight") / (F.col("slots") - F.col("unseen")[F.col("kind")] + 1))
+        rule = rule.where((F.col("confidence") >= CONFIDENT) & (F.col("weight") >= LEAST_SHARE * F.col("slots")))
+        rule = spool(rule.select("pattern", "kind", "confidence"), "patterns")
         if rule.isEmpty():
-            return slot.where("false").select("row", "start", "end", "kind")
-        voted = edges.where("kind < 0").select("pattern", "instance").join(rule, "pattern").groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence") * 0.999)))).alias("score"))
+            if not turn:
+                return slot.where("false").select("row", "start", "end", "kind")
+            break
+        unlabelled = edges.where("kind < 0").select("pattern", "instance", "fits").join(rule, "pattern").where(F.col("fits")[F.col("kind")])
+        voted = unlabelled.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence") * 0.999)))).alias("score"))
         best = voted.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("b")).select("instance", F.col("b.kind").alias("kind"), F.col("b.score").alias("score"))
-        seeds = edges.where("kind >= 0").groupBy("instance").agg(F.max("kind").alias("kind")).withColumn("score", F.lit(1.0))
         scores = spool(seeds.unionByName(best.join(seeds, "instance", "left_anti")), "instances")
     named = scores.where(F.col("score") >= ACCEPTED).select("instance", F.col("kind").alias("_kind"))
     return slot.where("kind < 0").join(named, "instance").select("row", "start", "end", F.col("_kind").alias("kind"))
@@ -158,12 +197,8 @@ def find_identifiers(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"), "text")
     found = spool(rows.mapInArrow(_scan, _FOUND), "identifiers")
     shaped = F.col("kind") >= 0
-    digits = F.length(F.regexp_replace("word", "[^0-9]", ""))
-    fits = F.when(F.col("kind") == 0, F.contains("word", F.lit("@")))
-    for kind, least in LEAST_DIGITS.items():
-        fits = fits.when(F.col("kind") == kind, digits >= least)
     words = found.select("row", F.explode("slots").alias("s")).select("row", "s.start", F.col("s.instance").alias("word"))
-    more = discovered(found).join(words, ["row", "start"]).where(shaped & fits)
+    more = discovered(found).join(words, ["row", "start"]).where(shaped & fits(F.col("word"), F.col("kind")))
     more = more.groupBy("row").agg(F.collect_list(F.struct("start", (F.col("kind") + 4).alias("kind"), "end")).alias("more"))
     every = F.concat("base", F.coalesce("more", F.array().cast("array<struct<start:int,kind:int,end:int>>")))
     ordered = F.transform(F.array_sort(F.transform(every, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))), lambda s: s)
