@@ -164,6 +164,24 @@ def test_main_text():
     assert extraction.main_text("<p>5 < 6 and 7 > 3</p>", extraction.DEFAULT) == "5 < 6 and 7 > 3"
 
 
+def test_main_text_in_named_wrappers():
+    """Classes of a wrapper that also name a part do not take the page away."""
+    words = "<h1>A title</h1><p>First words of the page that go on for a while.</p><p>Second words of the page.</p>"
+    want = "A title\nFirst words of the page that go on for a while.\nSecond words of the page."
+    side = "<div class=sidebar><p>Beside.</p></div>"
+    for page in (
+        f"<div class='layout sidebar-right'>{words}</div>",
+        f"<div class='layout sidebar-right'>{words}{side}</div><p></p>",
+        f"<div class='layout sidebar-right'><article>{words}</article>{side}</div><footer>All rights</footer>",
+        f"<div id='content-with-sidebar'>{words}{side}</div>",
+        f"<div id=sidebar-layout><main>{words}</main></div><div class=ad>Buy.</div>",
+        f"<article class='post category-social tag-share'>{words}</article>{side}",
+        f"<section class='post-with-comments'>{words}<div class=comments><p>I read it.</p></div></section>",
+        f"<div class=widget>{words}</div>",
+    ):
+        assert extraction.main_text(f"<html><body>{page}</body></html>", extraction.DEFAULT) == want, page
+
+
 def test_main_text_of_the_tables(spark):
     pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     rows = extraction.op1_main_text(spark, SF).collect()

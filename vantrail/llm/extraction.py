@@ -6,6 +6,9 @@ How much comes from labelled pages: an ``article`` element labels its inside as
 page as other, and a token's weight is the log-odds of the two, held to its sign. One linear
 scan finds the stretch of the page with the greatest sum. Its blocks, without the named parts inside, are the text.
 Named parts inside an ``article`` score nothing, so they do not cut off what follows them.
+A class, id or role can name a wrapper of the whole page too. When the named parts hold more words than the page outside of them,
+and no ``article`` or ``main`` is outside, an ``article`` or ``main`` in them opens content again; without one, first the names with other
+words in them (``layout sidebar-right``) and then all names are set aside.
 
 All pages with an ``article`` are labelled pages; counts per token kind, at most a few hundred, go to the driver.
 Without any, the default weights stand.
@@ -55,23 +58,38 @@ _PIECES = re.compile(r"[a-z]+")
 DEFAULT = {"word": 1.0, "link word": -0.5, "part word": -1.0, "part tag": -0.2, "tag": -0.2}
 
 
-def named_as_other(attributes: str) -> bool:
-    """Whether a word of class, id or role names a part; ``no-sidebar`` and the like say what the element is not."""
+def named_as_other(attributes: str, whole: bool = False) -> bool:
+    """Whether a word of class, id or role names a part, or all of it does; ``no-sidebar`` and the like say what the element is not."""
     for a, b, c in _ATTRIBUTE.findall(attributes):
         for word in (a or b or c).lower().split():
             pieces = _PIECES.findall(word)
-            if pieces and pieces[0] not in NOT and not NAMES.isdisjoint(pieces):
+            if pieces and NOT.isdisjoint(pieces) and (NAMES.issuperset(pieces) if whole else not NAMES.isdisjoint(pieces)):
                 return True
     return False
 
 
-def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
+#: How names are read: all of them; with an article or main inside opening content again; whole names only; none.
+STRICT, REOPENED, WHOLE, UNNAMED = range(4)
+
+
+def parse(page: str) -> list[tuple[str, str, bool]]:
+    """The tokens under the first reading of names that leaves an article, a main or most words outside of named parts."""
+    for names in (STRICT, REOPENED, WHOLE, UNNAMED):
+        tally: Counter[str] = Counter()
+        parsed = list(tokens(page, names, tally))
+        if tally["contents"] or tally["named"] <= tally["open"]:
+            break
+    return parsed
+
+
+def tokens(page: str, names: int = STRICT, tally: Counter[str] | None = None) -> Iterator[tuple[str, str, bool]]:
     """(kind, value, inside article) in page order: kind is ``word``, ``link word``, ``part word``, or a tag's name.
 
     The value of words is their raw text; of tags it is ``block`` or empty.
     """
     closed: list[tuple[str, int]] = []  # the open parts: name, and how many of the same name are open inside
     inner: Counter[str] = Counter()  # content elements open inside a part
+    tally = Counter() if tally is None else tally
     articles = links = 0
     at, end = 0, len(page)
     while at < end:
@@ -80,6 +98,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
         name = m[2]
         if name is None:
             if page[m.start()] != "<" or at == m.start() + 1:
+                tally["open" if not closed else "part" if closed[0][0] in PARTS else "named"] += len(m[0].split())
                 yield ("part word" if closed else "link word" if links else "word"), m[0], articles > 0
             continue
         name, ends = name.lower(), m[1] == "/"
@@ -88,6 +107,11 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
                 close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
                 at = close.end() if close else end
             continue
+        if name in ("article", "main") and not ends:
+            if closed and names == REOPENED and not articles and PARTS.isdisjoint(n for n, _ in closed):
+                closed.clear()
+                inner.clear()
+            tally["contents"] += not closed
         yield ("part tag" if closed else f"/{name}" if ends else name), "block" if name in BLOCKS or name in PARTS else "", articles > 0
         if name == "article" and not closed:
             articles = max(0, articles + (-1 if ends else 1))
@@ -108,7 +132,7 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool]]:
             elif name in [n for n, _ in closed]:
                 while closed.pop()[0] != name:
                     pass
-        elif name in PARTS or (name not in ("body", "html", "main") and m[3] and named_as_other(m[3])):
+        elif name in PARTS or (names != UNNAMED and name not in ("body", "html", "main") and (name != "article" or articles > 1) and m[3] and named_as_other(m[3], names == WHOLE)):
             closed.append((name, 1))
         if not closed:
             inner.clear()
@@ -128,7 +152,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, "html"):
             for page in part.column("html").to_pylist():
                 if page and "<article" in page.lower():
-                    for token, value, content in tokens(page):
+                    for token, value, content in parse(page):
                         if token == "part tag":
                             continue
                         kind = kind_of(token)
@@ -151,7 +175,7 @@ def weights(pages: DataFrame) -> dict[str, float]:
 
 def main_text(page: str, weight: Mapping[str, float]) -> str:
     """The blocks of the stretch with the greatest sum of weights, joined by line breaks."""
-    parsed = list(tokens(page))
+    parsed = parse(page)
     best, best_range, total, start = 0.0, (0, 0), 0.0, 0
     for i, (token, value, content) in enumerate(parsed):
         if content and token in ("part word", "part tag"):
