@@ -147,6 +147,23 @@ def test_likeness_follows_shared_paragraphs(spark):
     assert out[40] == 1.0 and abs(out[20] - 0.75) < 0.2 and abs(out[0] - 0.5) < 0.25
 
 
+def test_likeness_error_is_bounded(spark):
+    """Against the true likeness of multisets the error has a standard deviation of at most sqrt(2 / 256) = 0.09; four of them bound it."""
+    rng = random.Random(8)
+    pairs, true = [], []
+    for k in range(300):
+        shared = (0, 15, 24)[k % 3]
+        own = [[f"own {k} {side} {rng.random()}" for _ in range(30 - shared)] for side in (0, 1)]
+        both = [f"both {k} {rng.random()}" for _ in range(shared)]
+        pairs.append((k, "\n".join(both + own[0]), "\n".join(both + own[1])))
+        true.append(shared / 30)
+    df = multiset.with_fingerprints(spark.createDataFrame(pairs, "k int, text string, other string"), {"a": "text", "b": "other"})
+    got = [r["l"] for r in df.select("k", multiset.likeness(F.col("a"), F.col("b")).alias("l")).orderBy("k").collect()]
+    error = np.array(got) - np.array(true)
+    assert np.abs(error).max() < 4 * (2 / 256) ** 0.5 and np.abs(error).mean() < 0.06
+    assert np.quantile(np.array(got)[::3], 0.95) < 0.2  # documents that share nothing
+
+
 def test_edits(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     texts = sorted((r["doc_id"], r["text"] or "") for r in docs.collect())

@@ -8,10 +8,11 @@ the sum of the vectors, each place modulo a power of two:
 * the number of paragraphs;
 * ``EQUAL`` places of 64 bits, modulo 2**64: two multisets that differ agree in all of
   them with probability about 2**-256. They decide equality.
-* ``2 * LANES`` places of 32 bits, modulo 2**32, two in a long. A paragraph adds 0 or 1
-  to each. Twice a place less the number of paragraphs is a sum of random signs, so the mean
+* ``2 * LANES * SIGNS`` places of 32 bits, modulo 2**32, two in a long. A paragraph adds 0 or 1
+  to each, by the bits of ``SIGNS`` of its hashes. Twice a place less the number of paragraphs is a sum of random signs, so the mean
   square of the difference of two fingerprints estimates how many paragraphs the two
-  documents do not share. They give the likeness.
+  documents do not share. They give the likeness. For u of n + m paragraphs not shared, the estimate has a standard
+  deviation of about u / (n + m) * sqrt(2 / 256), 0.09 at most.
 
 Sums do not depend on order, so paragraphs can be added or taken away without
 the rest of the document (``combined``). Everything is built-in Spark SQL.
@@ -28,8 +29,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from vantrail.session import spool
 
 EQUAL = 4
-#: Longs of the likeness part; each holds two 32-bit places. One hash has bits for 32.
+#: Longs of the likeness part a hash; each holds two 32-bit places. One hash has bits for 32.
 LANES = 32
+#: Hashes whose bits are signs: those of the equality part, so that none is computed for the likeness alone.
+SIGNS = EQUAL
 _LOW = 0xFFFFFFFF
 _PAIR = 0x0000000100000001
 PART_WORDS = 8
@@ -62,14 +65,14 @@ def _total(values: Column, of) -> Column:
 def with_fingerprints(df: DataFrame, texts: dict[str, str]) -> DataFrame:
     """Adds a vector of longs per text: ``texts`` maps the new column to the text column."""
     hashed = df.select("*", *(
-        F.transform(paragraphs(F.col(text)), lambda p: F.array(*(F.xxhash64(p, F.lit(seed)) for seed in range(EQUAL + 1)))).alias(f"_hashed_{name}")
+        F.transform(paragraphs(F.col(text)), lambda p: F.array(*(F.xxhash64(p, F.lit(seed)) for seed in range(EQUAL)))).alias(f"_hashed_{name}")
         for name, text in texts.items()
     ))
     vectors = []
     for name in texts:
         h = F.col(f"_hashed_{name}")
         equal = [_wide(_total(h, lambda x, i=i: _high(x[i])), _total(h, lambda x, i=i: _low(x[i]))) for i in range(EQUAL)]
-        lanes = [_total(h, lambda x, k=k: F.shiftrightunsigned(x[EQUAL], k).bitwiseAND(F.lit(_PAIR))) for k in range(LANES)]
+        lanes = [_total(h, lambda x, i=i, k=k: F.shiftrightunsigned(x[i], k).bitwiseAND(F.lit(_PAIR))) for i in range(SIGNS) for k in range(LANES)]
         vectors.append(F.array(F.size(h).cast("long"), *equal, *lanes).alias(name))
     return hashed.select(*df.columns, *vectors)
 
@@ -98,11 +101,11 @@ def likeness(a: Column, b: Column) -> Column:
     n, m = a[0], b[0]
     squared = lambda x: (x * x).cast("double")
     per_pair = F.zip_with(
-        F.slice(a, EQUAL + 2, LANES),
-        F.slice(b, EQUAL + 2, LANES),
+        F.slice(a, EQUAL + 2, LANES * SIGNS),
+        F.slice(b, EQUAL + 2, LANES * SIGNS),
         lambda x, y: squared(2 * (_high(x) - _high(y)) - (n - m)) + squared(2 * (_low(x) - _low(y)) - (n - m)),
     )
-    differ = F.aggregate(per_pair, F.lit(0.0), lambda s, x: s + x) / F.lit(2.0 * LANES)
+    differ = F.aggregate(per_pair, F.lit(0.0), lambda s, x: s + x) / F.lit(2.0 * LANES * SIGNS)
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1 - differ / F.greatest(n + m, F.lit(1))))
 
 
