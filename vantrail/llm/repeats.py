@@ -1,4 +1,4 @@
-"""Removal of word sequences that an earlier document has too: partitioned suffix trees.
+"""Removal of word sequences that an earlier document has too: equal windows grouped by hash.
 
 A *window* is ``WINDOW`` words in a row. A window goes when its words also start in a document
 with a smaller doc_id; a word goes when such a window covers it.
@@ -9,15 +9,17 @@ with a smaller doc_id; a word goes when such a window covers it.
 2. *Groups.* Windows in a row with one anchor are a run: it holds their suffixes up to ``WINDOW`` words, as
    32-bit word hashes. Runs go to groups by anchor. Groups are of about ``GROUP_RUNS`` runs: many
    rare anchors share a group, and an anchor with more runs is split by document.
-3. *Subtrees.* In a group the suffixes are sorted, and the common prefixes of neighbours give the internal
-   nodes. Nodes of depth WINDOW and more are the repeats; every suffix below one goes, but for those of
-   the node's smallest document. Of a split anchor, each part names the smallest document of
-   its nodes, and those few meet in a second round of the same kind.
+3. *Equal windows.* In a group the windows are sorted by a 64-bit hash, and neighbours are compared word by word.
+   Of equal windows every one goes, but for those of the smallest document. Of a split anchor, each part names the
+   smallest document of its windows, and those few meet in a second round of the same kind.
 4. *Removal.* Marked windows go back to their document, and its words are cut.
 
 The groups are keyed by the anchor inside the first WINDOW words of a suffix instead of by its
 first words: that is a sixth of the rows, and a frequent beginning does not make a large group.
 
+This stands in for suffix trees: what is removed depends on nodes of depth WINDOW alone, which equal windows are. No suffixes
+are ordered, there are no nodes of other depths, and maximal repeats are not made.
+
 Defined cases: a null text has no words; rows that repeat a doc_id are one document for the order and
 each keeps its own words; a row without doc_id neither removes words nor loses any; an empty
 table gives no rows; columns beyond doc_id and text are not read.
