@@ -17,6 +17,8 @@ from vantrail.llm.multiset import op8_fingerprints
 from vantrail.llm.packing import op3_packing
 from vantrail.llm.repeats import op6_repeats
 from vantrail.llm.secret_scan import op2_secrets
+from vantrail.llm.spelling import op11_spelling
+from vantrail.llm.superminhash import op13_superminhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
@@ -29,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_identifiers": op10_identifiers,
+    "op11_spelling": op11_spelling,
+    "op13_superminhash": op13_superminhash,
     "pipeline": corpus_pipeline.run,
 }
 
