@@ -50,7 +50,7 @@ CHUNK = 1 << 15
 #: Nodes of a bucket that are compared with each other at once.
 BLOCK = 512
 #: Rows of one task of a search, about.
-TASK_ROWS, TASK_BYTES = 20_000, 16 << 20
+TASK_ROWS, TASK_BYTES = 20_000, 8 << 20
 #: Leaves that are compared with one partner in one group; a partner with more is sent to several.
 LEAVES = 256
 
@@ -173,11 +173,16 @@ def _linked(a: np.ndarray, b: np.ndarray, rule: Rule) -> bool:
     return rule.den * both >= rule.num * (least + most - both)
 
 
+def _sets(texts: pd.Series, rule: Rule) -> list[np.ndarray]:
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], names=["text"])
+    return [s for part in slices(batch, "text") for s in shingle_sets(part.column("text"), rule)]
+
+
 def _checked_partners(rule: Rule):
     """Links of leaves with the partner of their group, on the full sets."""
 
     def check(rows: pd.DataFrame) -> pd.DataFrame:
-        sets = shingle_sets(pa.array(rows["text"], pa.large_string()), rule)
+        sets = _sets(rows["text"], rule)
         place = {key: k for k, key in enumerate(zip(rows["center"], rows["salt"], rows["node"], strict=True))}
         edges = []
         for (center, salt, node), k in place.items():
@@ -227,7 +232,7 @@ def _checked_rest(rule: Rule):
         edges = []
         for _, own in rows.groupby(["bucket", "i", "j"], sort=False):
             own = own.sort_values("node", kind="stable")
-            sets = shingle_sets(pa.array(own["text"], pa.large_string()), rule)
+            sets = _sets(own["text"], rule)
             labels, index = np.unique(own["label"].to_numpy(), return_inverse=True)
             node, forest = own["node"].to_numpy(), Forest(len(labels))
             for i, j in _candidates(own):
