@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from vantrail.operators.dedupe import dedupe_first
 from vantrail.operators.rollups import airline_hour_state, country_hour_state, grid_state
 from vantrail.sources.lake import write_lake
+from vantrail.sources.stores import BUCKET_ROWS, add_rollup, append_days, upsert_buckets
 from vantrail.sources.tables import append_columnar, append_raw, append_rollup, place, run_of, upsert_state
+from vantrail.sources.versions import Table
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -82,3 +84,34 @@ def lake_sink(root: str, group: str = "lake") -> BatchSink:
         write_lake(dedupe_first(batch), place(f"{root}/lake", group, run_of(batch), batch_id), mode="overwrite")
 
     return run
+
+
+def leveled_rollup_sink(root: str, group: str = "columnar", rollups: tuple[str, ...] = ("country", "airline", "grid")) -> BatchSink:
+    """Partial rollup states in levels that are merged as they fill; every delivery counts."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        for name in rollups:
+            state = ROLLUPS[name](batch, dedupe=False)
+            table = Table(batch.sparkSession, f"{root}/levels_{name}", state.schema, "bucket" if name == "grid" else "hour")
+            add_rollup(table, state, f"{group}/{run_of(batch)}", batch_id)
+
+    return _held(run)
+
+
+def bucketed_state_sink(root: str, group: str = "operational", bucket_rows: int = BUCKET_ROWS) -> BatchSink:
+    """The state upsert on every arrival, which rewrites only the buckets that a batch touches."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        table = Table(batch.sparkSession, f"{root}/buckets", batch.schema, "observed_at")
+        upsert_buckets(table, batch, f"{group}/{run_of(batch)}", batch_id, bucket_rows=bucket_rows)
+
+    return _held(run)
+
+
+def day_sink(root: str, group: str = "columnar") -> BatchSink:
+    """Append every delivery, in parts of one day that ``expire`` can drop whole."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        append_days(Table(batch.sparkSession, f"{root}/days", batch.schema, "observed_at"), batch, f"{group}/{run_of(batch)}", batch_id)
+
+    return _held(run)
