@@ -15,6 +15,7 @@ from vantrail.llm.languages import op7_language
 from vantrail.llm.mixing import OP9_SQL, op9_mixing
 from vantrail.llm.multiset import op8_fingerprints
 from vantrail.llm.packing import op3_packing
+from vantrail.llm.phrases import OP12_SQL, op12_collocations
 from vantrail.llm.repeats import op6_repeats
 from vantrail.llm.secret_scan import op2_secrets
 from vantrail.llm.spelling import op11_spelling
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_identifiers": op10_identifiers,
     "op11_spelling": op11_spelling,
+    "op12_collocations": op12_collocations,
     "op13_superminhash": op13_superminhash,
     "pipeline": corpus_pipeline.run,
 }
@@ -39,4 +41,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op5_exact_dedup": OP5_SQL,
     "op9_mixing": OP9_SQL,
+    "op12_collocations": OP12_SQL,
 }
