@@ -91,5 +91,6 @@ def load() -> None:
         catalog_ingest,
         catalog_keyed,
         catalog_rollups,
+        catalog_stores,
         catalog_streams,
     )

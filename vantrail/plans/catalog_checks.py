@@ -74,6 +74,7 @@ add(
     "r3_retain_rollup",
     lambda c: keep.retain_rollup(r.country_hour_final(r.country_hour_state(c.feed)), c.as_of, 9),
     f"SELECT * FROM ({country_hour('raw')}) WHERE hour >= {LAST} - INTERVAL 9 DAY",
+    rounded=("avg_velocity_ms", "avg_baro_altitude_m"),
 )
 add(
     "r4_retain_grid",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 from vantrail.schema import REPLAY_HOURS
 from vantrail.streaming.sinks import BatchSink
 
+ROCKSDB = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 @dataclass(frozen=True)
 class Pace:
@@ -65,13 +72,22 @@ def finish(queries: list[StreamingQuery], drain: bool = True) -> None:
         query.stop()
 
 
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """``use_rocksdb`` for the queries that are started inside; the session's own settings come back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in ROCKSDB}
+    use_rocksdb(spark)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def use_rocksdb(spark: SparkSession) -> None:
     """Keep streaming state on local disk with changelog checkpoints."""
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    for name, value in ROCKSDB.items():
+        spark.conf.set(name, value)
 
 
 def stream_dedupe(stream: DataFrame, id: str = "event_id", arrived: str = "ingested_at", hours: int = REPLAY_HOURS) -> DataFrame:
