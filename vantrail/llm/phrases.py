@@ -82,7 +82,7 @@ class Grams:
 
 
 class Bitmap:
-    """What may be frequent. ``bits`` has FILTER_BITS places."""
+    """What may be frequent: one bit for each of FILTER_BITS places, a power of two."""
 
     def __init__(self, bits: np.ndarray) -> None:
         self.bits = bits
@@ -97,11 +97,8 @@ class Bitmap:
             bits[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
         return cls(bits.ravel())
 
-    def __contains__(self, key: int) -> bool:
-        return bool(self.has(np.array([key], np.uint64))[0])
-
     def has(self, keys: np.ndarray) -> np.ndarray:
-        place = (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+        place = (keys & np.uint64(8 * len(self.bits) - 1)).astype(np.int64)
         return (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0
 
 
