@@ -29,5 +29,6 @@ def odd_documents(documents):
     """Nulls, empty and very long texts, repeated rows and ids, an id that is null, columns with clashing names."""
     df = documents(*ODD_TEXTS, (3, "one"), (3, "other"), (None, "no id at all here"), (None, None))
     clashing = ("row", "token", "node", "label", "n", "block", "_copy", "_place", "print", "tag", "score", "spans", "length", "kept")
+    clashing += ("_id", "_sha", "_kept", "_copies", "_n", "_tag", "_terms", "_parts", "_source", "_u", "lang_pred", "key", "bucket", "range", "word", "vector")
     return df.withColumns({c: F.lit("x") for c in clashing})
 

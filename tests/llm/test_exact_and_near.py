@@ -153,3 +153,20 @@ def test_queries_on_the_tables(spark):
     near = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.op4_jaccard_join(spark, SF).collect()}
     assert near == near_by_hand(rows, jaccard.Rule(3, 90, 100))
     assert docs.where(F.col("text").isNotNull()).count() > 0
+
+
+def test_null_ids_link(documents):  # noqa: F811
+    words = " ".join(f"w{i}" for i in range(60))
+    df = documents((None, words), (5, words + " end"), (7, words + " other"), (None, "alone here now"), (None, words))
+    rule = jaccard.Rule(3, 90, 100)
+    got = sorted((r["doc_id"] or -1, r["component_id"] or -1) for r in jaccard.classes(df, rule).collect())
+    assert got == [(-1, -1), (-1, 5), (-1, 5), (5, 5), (7, 5)]
+    kept = [r["doc_id"] for r in jaccard.one_of_each(df, rule).collect()]
+    assert sorted(x or -1 for x in kept) == [-1, 5]
+
+
+def test_words_with_equal_low_bits_are_different(documents):  # noqa: F811
+    """The hashes of these two words agree in their low 32 bits."""
+    rest = " ".join(f"w{i}" for i in range(12))
+    rows = repeats.remove_repeats(documents((1, f"k66998 {rest}"), (2, f"k208235 {rest}"), (3, f"k66998 {rest}"))).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in rows} == {1: 0, 2: 0, 3: 13}

@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from vantrail.llm import golomb
+from vantrail.llm.columns import hidden
 from vantrail.session import spool
 
 #: Fingerprints of one owner, about: the number of owners follows the number of rows.
@@ -135,17 +136,18 @@ def groups(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each set of equal texts; all columns stay.
 
-    The rows that go are named by doc_id and text; of rows that also share the doc_id, one stays.
+    The rows that go are named by doc_id and text; of rows that also share the doc_id, one stays. Extra columns may have any names.
     """
-    marked = groups(docs)
-    out = marked.where((F.col("group_size") > 1)).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), "kept")
-    fate = out.groupBy("_id", "_sha").agg(F.max("kept").alias("_kept"), F.count("*").alias("_copies"))
+    marked = groups(docs.select("doc_id", "text"))
+    id_, sha, kept, copies, n = (hidden(x, docs) for x in ("_id", "_sha", "_kept", "_copies", "_n"))
+    out = marked.where((F.col("group_size") > 1)).select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(sha), F.col("kept").alias(kept))
+    fate = out.groupBy(id_, sha).agg(F.max(kept).alias(kept), F.count("*").alias(copies))
     key = F.sha2(F.coalesce("text", F.lit("")), 256)
-    joined = docs.join(fate, docs["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_sha")), "left")
-    once = joined.where(F.coalesce("_kept", F.lit(True)))
-    several = Window.partitionBy("doc_id", "_sha").orderBy(F.lit(0))
-    single = once.where(F.coalesce("_copies", F.lit(1)) == 1).select(docs.columns)
-    repeats = once.where("_copies > 1").withColumn("_n", F.row_number().over(several)).where("_n = 1").select(docs.columns)
+    joined = docs.join(fate, docs["doc_id"].eqNullSafe(F.col(id_)) & (key == F.col(sha)), "left")
+    once = joined.where(F.coalesce(kept, F.lit(True)))
+    several = Window.partitionBy("doc_id", sha).orderBy(F.lit(0))
+    single = once.where(F.coalesce(copies, F.lit(1)) == 1).select(docs.columns)
+    repeats = once.where(F.col(copies) > 1).withColumn(n, F.row_number().over(several)).where(F.col(n) == 1).select(docs.columns)
     return single.unionByName(repeats)
 
 

@@ -24,8 +24,8 @@ pair of documents share a hash with probability about 2**-64.
 
 Defined cases: a null or empty text, or one without words, has the empty set and links with
 nothing; fewer words than a shingle has are one shingle; rows that repeat a doc_id are documents
-of their own with the same id; a null doc_id is carried along and is the smallest id of a class only
-when all its ids are null. Columns beyond doc_id and text are not read.
+of their own with the same id; rows with a null doc_id link like any other, and a null is the smallest id of
+a class only when all its ids are null. Columns beyond doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from vantrail.llm.columns import hidden
 from vantrail.llm.graph import components
 from vantrail.llm.words import mixed, slices, split_words
 from vantrail.session import spool
@@ -257,7 +258,7 @@ def _bands(n: str, rule: Rule):
 
 
 def links(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
-    """Tree edges (a, b) between the nodes that links connect. ``nodes``: node, doc_id of one document that has the set, n."""
+    """Tree edges (a, b) between the nodes that links connect. ``nodes``: node, key of one document that has the set, n; ``docs``: key, text."""
     texts = docs.select("text").where(F.col("text").isNotNull())
     tokens = texts.mapInArrow(_listed(rule), "token long, node long, n int")
     shared = spool(tokens.groupBy("token").agg(F.count("*").alias("lists")).where("lists > 1"), "shingles")
@@ -267,15 +268,15 @@ def links(docs: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
     hubs = meet.groupBy("token", "band").agg(F.min("node").alias("hub"), F.max("node").alias("other"), F.min("low").alias("low")).where("hub < other and not low")
     coarse = components(meet.join(hubs.select("token", "band", "hub"), ["token", "band"]).select(F.col("node").alias("a"), F.col("hub").alias("b")))
 
-    member = nodes.join(coarse, "node").select("doc_id", "node", "n", F.col("label").alias("coarse"), _bands("n", rule)).select("doc_id", "node", "n", "coarse", "b.*")
+    member = nodes.join(coarse, "node").select("key", "node", "n", F.col("label").alias("coarse"), _bands("n", rule)).select("key", "node", "n", "coarse", "b.*")
     member = spool(member, "members")
     weights = member.groupBy("coarse", "band").agg(F.sum("n").alias("weight"), F.count("*").alias("sets"), F.min("low").alias("low")).where("sets > 1 and not low")
     sized = spool(weights.select("coarse", "band", "weight", F.ceil(F.col("weight") / BLOCK).cast("int").alias("blocks")), "groups")
     total = sized.agg(F.sum("weight").alias("n")).first()["n"] or 0
     groups = max(1, -(-total // BLOCK))
-    placed = member.join(sized, ["coarse", "band"]).groupBy("doc_id", "node").agg(F.collect_list(F.struct("coarse", "band", "low", "blocks")).alias("places"))
-    # A document is found again by its id and, as an id may have several rows, by its set. Sets are large and are shuffled once, to their groups.
-    sets = docs.join(placed, "doc_id").select("node", "places", "text").mapInArrow(_sets(rule), f"node long, places {_PLACES}, shingles binary")
+    placed = member.join(sized, ["coarse", "band"]).groupBy("key", "node").agg(F.collect_list(F.struct("coarse", "band", "low", "blocks")).alias("places"))
+    # A document is found again by its key and, as a key may have several rows, by its set. Sets are large and are shuffled once, to their groups.
+    sets = docs.join(placed, "key").select("node", "places", "text").mapInArrow(_sets(rule), f"node long, places {_PLACES}, shingles binary")
     one = sets.select("node", "shingles", F.explode("places").alias("p"))
     one = one.select("node", "shingles", "p.*").withColumn("key", F.xxhash64("coarse", "band")).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     own = F.array(F.struct(F.pmod("key", F.lit(groups)).alias("group"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side")))
@@ -291,12 +292,18 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, tag (hash of the text), n_shingles, component_id and class (a hash, the same for all of a class) per row of ``docs``."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     signed = spool(slim.withColumn("tag", F.xxhash64("text")).mapInArrow(_signed(rule), "doc_id long, tag long, n long, node long, check long"), "signed")
-    nodes = signed.where("n > 0").groupBy("node", "check").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
-    edges = spool(links(slim, nodes.where("doc_id is not null").select("node", "doc_id", "n"), rule), "links")
+    # The key of a document is its id, or the hash of its text where that is null; equal texts without id count once.
+    key = F.coalesce("doc_id", "tag")
+    nodes = signed.where("n > 0").groupBy("node", "check").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.min(F.struct(F.col("doc_id").isNull(), key.alias("key"))).alias("k"))
+    nodes = nodes.select("node", "check", "doc_id", "n", "k.key")
+    named = slim.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("key"), "text")
+    nameless = slim.where(F.col("doc_id").isNull()).groupBy("text").agg(F.lit(1)).select(F.xxhash64("text").alias("key"), "text")
+    edges = spool(links(named.unionByName(nameless), nodes.select("node", "key", "n"), rule), "links")
     labels = components(edges)
     least = nodes.join(labels, "node").groupBy("label").agg(F.min("doc_id").alias("least"))
     joined = labels.join(least, "label").select("node", "label", F.col("least").alias("linked"))
-    named = nodes.join(joined, "node", "left").select("node", "check", F.coalesce("label", "node").alias("class"), F.coalesce("linked", "doc_id").alias("component"))
+    component = F.when(F.col("label").isNotNull(), F.col("linked")).otherwise(F.col("doc_id"))
+    named = nodes.join(joined, "node", "left").select("node", "check", F.coalesce("label", "node").alias("class"), component.alias("component"))
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
     return signed.join(named, ["node", "check"], "left").select("doc_id", "tag", F.col("n").alias("n_shingles"), component, "class")
 
@@ -307,10 +314,11 @@ def one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
     Rows without words all stay; rows equal in doc_id and text stay or go together.
     """
     found = spool(classes(docs, rule), "classes")
-    first = found.where("n_shingles > 0").groupBy("class").agg(F.min(F.struct("doc_id", "tag")).alias("f")).select("f.doc_id", "f.tag")
-    stays = first.unionByName(found.where("n_shingles = 0").select("doc_id", "tag").distinct()).select(F.col("doc_id").alias("_id"), F.col("tag").alias("_tag"))
+    id_, tag_ = hidden("_id", docs), hidden("_tag", docs)
+    first = found.where("n_shingles > 0").groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "tag")).alias("f")).select("f.doc_id", "f.tag")
+    stays = first.unionByName(found.where("n_shingles = 0").select("doc_id", "tag").distinct()).select(F.col("doc_id").alias(id_), F.col("tag").alias(tag_))
     tag = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.join(stays, docs["doc_id"].eqNullSafe(F.col("_id")) & (tag == F.col("_tag")), "left_semi")
+    return docs.join(stays, docs["doc_id"].eqNullSafe(F.col(id_)) & (tag == F.col(tag_)), "left_semi")
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

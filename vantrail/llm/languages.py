@@ -199,7 +199,8 @@ def _label(model: Model):
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with lang_pred, score and spans (start in the lower-cased text, words, lang); it must not have such columns."""
+    """``docs`` with lang_pred, score and spans (start in the lower-cased text, words, lang), which replace columns of these names."""
+    docs = docs.drop("lang_pred", "score", "spans")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(_label(model), f"{fields}, lang_pred string, score double, spans {_SPANS}")
 
