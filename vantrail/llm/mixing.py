@@ -22,6 +22,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from vantrail.llm.columns import hidden
+
 #: The list of targets is a setting made by a person; it travels to every task.
 MOST_TARGETS = 10_000
 SEED = 17
@@ -69,18 +71,19 @@ def rates(docs: DataFrame, targets: Mapping[str | None, float] | None) -> DataFr
 def mix(docs: DataFrame, targets: Mapping[str | None, float] | None = None, seed: int = SEED) -> DataFrame:
     """``docs`` with ``_copy`` (1, 2, ...), one row per drawn copy, in global random order.
 
-    Extra columns are carried along.
+    Extra columns are carried along, whatever their names; one named ``_copy`` is replaced.
     """
-    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / MOST_REPEATS).cast("int"))
-    rated = rates(docs.select("source", "text"), targets).withColumn("_parts", parts)
-    per_source = rated.select(F.col("source").alias("_source"), "_parts", poisson_terms(F.col("rate") / F.col("_parts")).alias("_terms"))
-    drawn = docs.join(per_source, docs["source"].eqNullSafe(per_source["_source"]), "inner")
-    u = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda part: uniform(F.col("doc_id"), seed, part))
-    copies = F.aggregate(F.col("_u"), F.lit(0), lambda n, x: n + F.size(F.filter(F.col("_terms"), lambda c: c < x)))
-    counted = drawn.withColumn("_u", u).withColumn("_n", copies).where("_n > 0").drop("_terms", "_u", "_source", "_parts")
-    several = counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
-    place = F.xxhash64(F.col("doc_id"), F.col("_copy"), F.lit(seed))
-    return several.withColumn("_place", place).repartition("_place").sortWithinPartitions("_place").drop("_place")
+    docs = docs.drop("_copy")
+    source, parts, terms, u, n, place = (hidden(x, docs) for x in ("_source", "_parts", "_terms", "_u", "_n", "_place"))
+    rated = rates(docs.select("source", "text"), targets).withColumn(parts, F.greatest(F.lit(1), F.ceil(F.col("rate") / MOST_REPEATS).cast("int")))
+    per_source = rated.select(F.col("source").alias(source), parts, poisson_terms(F.col("rate") / F.col(parts)).alias(terms))
+    drawn = docs.join(per_source, docs["source"].eqNullSafe(per_source[source]), "inner")
+    draws = F.transform(F.sequence(F.lit(0), F.col(parts) - 1), lambda part: uniform(F.col("doc_id"), seed, part))
+    copies = F.aggregate(F.col(u), F.lit(0), lambda total, x: total + F.size(F.filter(F.col(terms), lambda c: c < x)))
+    counted = drawn.withColumn(u, draws).withColumn(n, copies).where(F.col(n) > 0)
+    several = counted.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col(n))).alias("_copy"))
+    placed = several.withColumn(place, F.xxhash64(F.col("doc_id"), F.col("_copy"), F.lit(seed)))
+    return placed.repartition(place).sortWithinPartitions(place).drop(place)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,16 +95,18 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same draw in SQL. The terms are summed in the same order.
 OP9_SQL = f"""
 WITH sizes AS (SELECT source, sum(length(coalesce(text, ''))) AS chars FROM documents GROUP BY source),
-rates AS (SELECT source, least(CASE WHEN chars = 0 THEN 1.0 ELSE 1.0 / count(*) OVER () * sum(chars) OVER () / chars END, {MOST_REPEATS})::DOUBLE AS rate FROM sizes),
+whole AS (SELECT source, (CASE WHEN chars = 0 THEN 1.0 ELSE 1.0 / count(*) OVER () * sum(chars) OVER () / chars END)::DOUBLE AS rate FROM sizes),
+rates AS (SELECT source, rate / parts AS rate, parts FROM (SELECT *, greatest(1, ceil(rate / {MOST_REPEATS}))::INTEGER AS parts FROM whole)),
 RECURSIVE_terms AS (
   SELECT source, j, sum(exp(-rate + j * ln(rate) - lgamma(j + 1))) OVER (PARTITION BY source ORDER BY j) AS c
   FROM rates, range(0, {TERMS + 1}) t(j)
 ),
 drawn AS (
-  SELECT doc_id, source, sha256(coalesce(text, '')) AS text_sha256,
-         (('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
-  FROM documents
+  SELECT d.row, d.doc_id, d.source, sha256(coalesce(d.text, '')) AS text_sha256,
+         (('0x' || substr(sha256('{SEED}' || CASE WHEN part = 0 THEN '' ELSE '.' || part END || ':' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u
+  FROM (SELECT d.*, unnest(range(0, r.parts)) AS part FROM (SELECT *, row_number() OVER () AS row FROM documents) d JOIN rates r ON r.source IS NOT DISTINCT FROM d.source) d
 ),
-counts AS (SELECT d.*, (SELECT count(*) FROM RECURSIVE_terms t WHERE t.source IS NOT DISTINCT FROM d.source AND t.c < d.u) AS n FROM drawn d)
-SELECT doc_id, source, copy::INTEGER AS copy, text_sha256 FROM counts, range(1, 161) r(copy) WHERE copy <= n
+parts AS (SELECT d.*, (SELECT count(*) FROM RECURSIVE_terms t WHERE t.source IS NOT DISTINCT FROM d.source AND t.c < d.u) AS n FROM drawn d),
+counts AS (SELECT row, doc_id, source, text_sha256, sum(n)::BIGINT AS n FROM parts GROUP BY ALL)
+SELECT doc_id, source, copy::INTEGER AS copy, text_sha256 FROM (SELECT *, unnest(range(1, n + 1)) AS copy FROM counts)
 """
