@@ -7,7 +7,7 @@ with a smaller doc_id; a word goes when such a window covers it.
    windows have equal anchors, and about 6 windows in a row share one, so anchors are a sixth
    of the suffixes. The documents of every anchor are counted; anchors of one document are dropped.
 2. *Groups.* Windows in a row with one anchor are a run: it holds their suffixes up to ``WINDOW`` words, as
-   32-bit word hashes. Runs go to groups by anchor. Groups are of about ``GROUP_RUNS`` runs: many
+   64-bit word hashes. Runs go to groups by anchor. Groups are of about ``GROUP_RUNS`` runs: many
    rare anchors share a group, and an anchor with more runs is split by document.
 3. *Equal windows.* In a group the windows are sorted by a 64-bit hash, and neighbours are compared word by word.
    Of equal windows every one goes, but for those of the smallest document. Of a split anchor, each part names the
@@ -105,8 +105,8 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keep[a:b] = mine[k] == anchors[a:b]
                 split[a:b] = into[ends[d] : ends[d + 1]][where][k]
             starts, lengths = _runs(anchors, keep & whole, doc)
-            short = words.hashes.astype("<u4").tobytes()
-            rows = [short[4 * a : 4 * (a + n + WINDOW - 1)] for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
+            hashes = words.hashes.astype("<u8").tobytes()
+            rows = [hashes[8 * a : 8 * (a + n + WINDOW - 1)] for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
             owner = doc[starts]
             columns = [
                 pa.array(anchors[starts].view(np.int64)),
@@ -124,8 +124,8 @@ _MARKS = "doc_id long, tag long, start int, length int, anchor long, words binar
 
 def repeats_in(runs: pd.DataFrame) -> pd.DataFrame:
     """Windows below the deep nodes of one group; with ``words``: the smallest document of a node of a split anchor."""
-    sizes = runs["words"].str.len().to_numpy(np.int64) // 4
-    every = np.frombuffer(b"".join(runs["words"]), "<u4")
+    sizes = runs["words"].str.len().to_numpy(np.int64) // 8
+    every = np.frombuffer(b"".join(runs["words"]), "<u8")
     counts = sizes - WINDOW + 1
     row = np.repeat(np.arange(len(runs)), counts)
     within = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
