@@ -34,7 +34,10 @@ LANES = 32
 #: Hashes whose bits are signs: those of the equality part, so that none is computed for the likeness alone.
 SIGNS = EQUAL
 _LOW = 0xFFFFFFFF
-_PAIR = 0x0000000100000001
+_EIGHT = 0x0101010101010101
+_BYTES = 0x000000FF000000FF
+#: Hashes whose bits are counted in eight bits before the counters are widened: the uppermost counter must not reach the sign.
+BLOCK = 127
 PART_WORDS = 8
 
 
@@ -72,9 +75,25 @@ def with_fingerprints(df: DataFrame, texts: dict[str, str]) -> DataFrame:
     for name in texts:
         h = F.col(f"_hashed_{name}")
         equal = [_wide(_total(h, lambda x, i=i: _high(x[i])), _total(h, lambda x, i=i: _low(x[i]))) for i in range(EQUAL)]
-        lanes = [_total(h, lambda x, i=i, k=k: F.shiftrightunsigned(x[i], k).bitwiseAND(F.lit(_PAIR))) for i in range(SIGNS) for k in range(LANES)]
-        vectors.append(F.array(F.size(h).cast("long"), *equal, *lanes).alias(name))
-    return hashed.select(*df.columns, *vectors)
+        vectors.append(F.struct(F.size(h).cast("long").alias("n"), F.array(*equal).alias("equal"), _packed(h).alias("packed")).alias(f"_sums_{name}"))
+    summed = hashed.select(*df.columns, *vectors)
+    return summed.select(*df.columns, *(F.concat(F.array(s["n"]), s["equal"], _lanes(s["packed"])).alias(name) for name in texts for s in [F.col(f"_sums_{name}")]))
+
+
+def _packed(hashes: Column) -> Column:
+    """Per block of hashes how often each bit is set, eight counters of eight bits in a long.
+
+    Long k of a hash counts its bits k, k + 8, ...; no block has more hashes than a counter can hold.
+    """
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(hashes) - 1) / BLOCK).cast("int")), lambda b: F.slice(hashes, b * BLOCK + 1, BLOCK))
+    counted = [lambda x, i=i, k=k: F.shiftrightunsigned(x[i], k).bitwiseAND(F.lit(_EIGHT)) for i in range(SIGNS) for k in range(8)]
+    return F.when(F.size(hashes) > 0, F.transform(blocks, lambda block: F.array(*(_total(block, bit) for bit in counted)))).otherwise(F.array().cast("array<array<bigint>>"))
+
+
+def _lanes(packed: Column) -> Column:
+    """The counters of all blocks, added up in two places of 32 bits: lane k of a hash counts its bits k and k + 32."""
+    at = [(8 * i + k % 8, 8 * (k // 8)) for i in range(SIGNS) for k in range(LANES)]
+    return F.array(*(_total(packed, lambda p, i=i, by=by: F.shiftrightunsigned(p[i], by).bitwiseAND(F.lit(_BYTES))) for i, by in at))
 
 
 def as_text(vector: Column) -> Column:
@@ -156,7 +175,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
             F.length("text").cast("long").alias("n_chars"),
             F.sha2("edited", 256).alias("edited_sha256"),
             "vector",
-            as_text(F.col("edited_vector")).alias("edited_fingerprint"),
+            "edited_vector",
             likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
         ),
         "multiset",
@@ -167,7 +186,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
         "n_chars",
         "edited_sha256",
         as_text(F.col("vector")).alias("fingerprint"),
-        "edited_fingerprint",
+        as_text(F.col("edited_vector")).alias("edited_fingerprint"),
         "near_edited",
         F.coalesce(likeness(F.col("vector"), F.col("next_vector")), F.lit(0.0)).alias("near_next"),
     )
