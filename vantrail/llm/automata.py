@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from heapq import merge
-from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 
@@ -28,34 +25,35 @@ class Transducer:
         known: dict[tuple, int] = {}
         weights: list[int] = []
         arcs: list[tuple] = []
-
-        def finished(state: list) -> int:
-            key = (state[0], tuple(state[1]))
-            at = known.get(key)
-            if at is None:
-                at = known[key] = len(weights)
-                weights.append(key[0])
-                arcs.append(key[1])
-            return at
+        # The states of the phrase before: their weights, and their arcs so far.
+        heavy, out, last = [0], [[]], ()
 
         def close(depth: int) -> None:
-            while len(path) > depth + 1:
-                state = path.pop()
-                path[-1][1].append((last[len(path) - 1], finished(state)))
+            for k in range(len(last) - 1, depth - 1, -1):
+                key = heavy.pop(), tuple(out.pop())
+                at = known.get(key)
+                if at is None:
+                    at = known[key] = len(weights)
+                    weights.append(key[0])
+                    arcs.append(key[1])
+                out[-1].append((last[k], at))
 
-        path, last = [[0, []]], ()
         for phrase, count in counted:
             shared = 0
-            while shared < min(len(last), len(phrase)) and last[shared] == phrase[shared]:
+            for one, other in zip(last, phrase, strict=False):
+                if one != other:
+                    break
                 shared += 1
             close(shared)
-            path.extend([0, []] for _ in phrase[shared:])
-            path[-1][0] += count
+            for _ in phrase[shared:]:
+                heavy.append(0)
+                out.append([])
+            heavy[-1] += count
             last = phrase
         close(0)
         # The start is never shared, or it would not be the last state.
-        weights.append(path[0][0])
-        arcs.append(tuple(path[0][1]))
+        weights.append(heavy[0])
+        arcs.append(tuple(out[0]))
         return cls(weights, arcs)
 
     def items(self) -> Iterator[tuple[Phrase, int]]:
@@ -105,6 +103,8 @@ class Transducer:
 
 def union(automata: Iterable[Transducer], least: int = 1) -> Transducer:
     """One automaton with the sums of the counts; sums below ``least`` go."""
-    ordered = groupby(merge(*[a.items() for a in automata]), key=itemgetter(0))
-    sums = ((phrase, sum(count for _, count in group)) for phrase, group in ordered)
-    return Transducer.of((phrase, count) for phrase, count in sums if count >= least)
+    sums: dict[Phrase, int] = {}
+    for one in automata:
+        for phrase, count in one.items():
+            sums[phrase] = sums.get(phrase, 0) + count
+    return Transducer.of(sorted((phrase, count) for phrase, count in sums.items() if count >= least))

@@ -2,7 +2,7 @@
 
 1. *What may be frequent.* A phrase can be frequent only if its parts are. Tasks send the sorted 64-bit hashes of
    their words and word pairs with counts to the owners of ranges of the hashes, who return those that
-   reach the least count; then the same is done for triples of frequent pairs. What
+   reach the least count; then the same is done for triples of frequent pairs, and for the words of such pairs. What
    comes back is a bitmap of fixed size, the only thing broadcast. It drops no frequent phrase; when it is full it
    drops fewer others, and the counts below stay exact.
 2. *Shard automata.* Every task counts the phrases that may be frequent, sorts them, and builds one transducer per
@@ -46,6 +46,7 @@ HELD_HASHES, OWNER_CHARS, RANGE_PHRASES = 1 << 21, 8 << 20, 20_000
 HELD_PHRASES = 300_000
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
+_NEEDED = np.uint64(0xB5297A4D3F84D5B5)
 _IS_END = np.isin(np.arange(256, dtype=np.uint8), np.frombuffer(_ENDS, np.uint8))
 _TO_SPACE = np.where(_IS_END, np.uint8(32), np.arange(256, dtype=np.uint8))
 
@@ -117,8 +118,15 @@ def _between(grams: Grams, bitmap: Bitmap, size: int) -> tuple[np.ndarray, np.nd
     return keys, whole & may & np.concatenate([may[1:], [False]])[: len(may)]
 
 
+def _words_of_pairs(grams: Grams, bitmap: Bitmap) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of words, apart from those that count them, and which stand in a pair that may be frequent."""
+    pair, whole = grams.of(2)
+    may = whole & bitmap.has(pair)
+    return mixed(grams.of(1)[0] ^ _NEEDED), may | np.concatenate([[False], may])[: len(may)]
+
+
 def _sent_hashes(sizes: tuple[int, ...], owners: int, known: Broadcast | None):
-    """Sorted hashes with counts, one message per owner."""
+    """Sorted hashes with counts, one message per owner. Behind ``known`` they are those of triples and of the words of pairs."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -142,8 +150,8 @@ def _sent_hashes(sizes: tuple[int, ...], owners: int, known: Broadcast | None):
 
         size_held = 0
         for grams, _ in _grams(batches):
-            for size in sizes:
-                keys, fits = grams.of(size) if known is None else _between(grams, known.value, size)
+            every = [grams.of(size) if known is None else _between(grams, known.value, size) for size in sizes]
+            for keys, fits in [*every, *([] if known is None else [_words_of_pairs(grams, known.value)])]:
                 unique, counts = np.unique(keys[fits], return_counts=True)
                 held.append((unique, counts.astype(np.int64)))
                 size_held += len(unique)
@@ -185,7 +193,9 @@ def _shard_automata(known: Broadcast, ranges: int):
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap: Bitmap = known.value
-        held: dict[int, list] = {}
+        # The phrases of a task: their hashes in order, which phrase each is, and their counts.
+        held, which, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        phrases: list[tuple[str, tuple[bytes, ...]]] = []
         totals: dict[str, int] = {}
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -194,28 +204,33 @@ def _shard_automata(known: Broadcast, ranges: int):
 
         def automata() -> pa.RecordBatch:
             parts: dict[tuple[str, int], list] = {}
-            for lang, phrase, count in held.values():
+            for (lang, phrase), count in zip(phrases, counts.tolist(), strict=True):
                 parts.setdefault((lang, range_of(phrase, ranges)), []).append((phrase, count))
-            held.clear()
             return batch_of([(lang, r, None, Transducer.of(sorted(rows)).pack()) for (lang, r), rows in parts.items()])
 
         for grams, langs in _grams(batches):
             for lang, n in zip(langs, grams.words.counts().tolist(), strict=True):
                 totals[lang] = totals.get(lang, 0) + n
             for size in range(1, MOST_WORDS + 1):
-                keys, fits = grams.of(1) if size == 1 else _between(grams, bitmap, size)
-                if size < MOST_WORDS:
-                    fits = fits & bitmap.has(keys)
+                if size == 1:
+                    keys, fits = grams.of(1)
+                    fits = fits & bitmap.has(keys) & bitmap.has(mixed(keys ^ _NEEDED))
+                else:
+                    keys, fits = _between(grams, bitmap, size)
+                    fits = fits & bitmap.has(keys) if size < MOST_WORDS else fits
                 at = np.flatnonzero(fits)
-                unique, first, counts = np.unique(keys[at], return_index=True, return_counts=True)
-                for key, k, n in zip(unique.tolist(), at[first].tolist(), counts.tolist(), strict=True):
-                    row = held.get(key)
-                    if row is None:
-                        held[key] = [langs[grams.text[k]], grams.phrase(k, size), n]
-                    else:
-                        row[2] += n
+                unique, first, n = np.unique(keys[at], return_index=True, return_counts=True)
+                place = np.searchsorted(held, unique)
+                known_already = held[np.minimum(place, len(held) - 1)] == unique if len(held) else np.zeros(len(unique), bool)
+                counts[which[place[known_already]]] += n[known_already]
+                new = np.flatnonzero(~known_already)
+                numbers = len(phrases) + np.arange(len(new))
+                phrases += [(langs[grams.text[k]], grams.phrase(k, size)) for k in at[first[new]].tolist()]
+                counts = np.concatenate([counts, n[new]])
+                held, which = np.insert(held, place[new], unique[new]), np.insert(which, place[new], numbers)
             if len(held) >= HELD_PHRASES:
                 yield automata()
+                held, which, counts, phrases = held[:0], which[:0], counts[:0], []
         yield automata()
         yield batch_of([(lang, None, n, None) for lang, n in totals.items()])
 
