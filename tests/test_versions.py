@@ -140,3 +140,41 @@ def test_vacuum_keeps_pinned_versions(spark, feed, tmp_path):
     with pytest.raises(ValueError, match="does not exist"):
         table.snapshot(1)
     assert len(list((tmp_path / "state/data").iterdir())) == 2
+
+
+def test_lake_parts_are_merged_and_pruned(spark, observations, tmp_path):
+    countries = ["FR", "a/b=c d", "DE", "ÄÖ"]
+    rows = observations(*[{"event_id": f"e{i}", "origin_country": countries[i % 4], "observed_at": at("2025-01-01T09:00:00") + timedelta(hours=i)} for i in range(96)])
+    table = Table(spark, f"{tmp_path}/lake", OBSERVED, "observed_at")
+    for k in range(6):
+        stores.append_lake(table, rows.filter(F.col("seq") % 6 == k), "w", k, fanout=3)
+    before = table.snapshot()
+    stores.append_lake(table, rows.filter("seq % 6 = 5"), "w", 5, fanout=3)
+    assert table.snapshot() == before
+    assert sorted_rows(table.read()) == sorted_rows(rows)
+    groups = [(p.tag, p.low.date()) for p in before.parts]
+    assert all(groups.count(g) < 3 for g in groups), "no day and country is left in many small files"
+    found = stores.read_lake_parts(table, at("2025-01-02T00:00:00"), at("2025-01-03T00:00:00"), ["a/b=c d"])
+    want = rows.filter((F.col("origin_country") == "a/b=c d") & (F.to_date("observed_at") == F.lit("2025-01-02").cast("date")))
+    assert sorted_rows(found) == sorted_rows(want) and found.count() == 6
+    assert len(found.inputFiles()) * 20 <= len(table.read().inputFiles()) * 2  # a tenth of the files at most
+    stores.compact_lake(table, fanout=2)
+    assert len(table.snapshot().parts) == 20 and sorted_rows(table.read()) == sorted_rows(rows)  # five days, four countries
+
+
+def test_columnar_rows_collapse_as_they_merge(spark, observations, tmp_path):
+    rows = observations(*[{"event_id": f"e{i % 7}", "velocity_ms": float(i)} for i in range(28)])
+    table = Table(spark, f"{tmp_path}/columnar", OBSERVED, "observed_at")
+    for k in range(4):
+        stores.append_collapsing(table, rows.filter(F.col("seq") % 4 == k), "w", k)
+        assert sorted(r["seq"] for r in stores.read_collapsed(table).collect()) == sorted({i % 7: i for i in range(28) if i % 4 <= k}.values())
+    assert table.read().count() == 7  # the fourth part filled the level
+
+
+def test_bitmaps_count_each_aircraft_once(spark, observations):
+    ids = ["000000", "000001", "007fff", "008000", "ffffff", "abcdef"]
+    rows = observations(*[{"icao24": ids[i % 6], "origin_country": "GB" if i % 3 else "FR"} for i in range(40)])
+    halves = [rows.filter(F.col("seq") % 2 == k) for k in (0, 1)]
+    state = r.merge_bitmaps(*map(r.distinct_bitmap_state, halves), r.distinct_bitmap_state(halves[0]))
+    got = {(x["origin_country"], x["active_aircraft"]) for x in r.distinct_bitmap_final(state).collect()}
+    assert got == {("FR", 2), ("GB", 4)}

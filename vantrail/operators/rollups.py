@@ -214,3 +214,28 @@ def week_over_week(final: DataFrame) -> DataFrame:
         .withColumn("aircraft_change", F.col("aircraft") - F.col("aircraft_before"))
         .withColumn("velocity_change", F.col("velocity") - F.col("velocity_before"))
     )
+
+
+def distinct_bitmap_state(df: DataFrame, by: str = "origin_country", grain: str = "hour") -> DataFrame:
+    """Exact distinct aircraft per group as bitmaps: a second form of the row state, for dense groups.
+
+    The six hex digits of an aircraft are its number, so a group has at most 512 bitmaps of 32,768 aircraft, 4 KB each (2 MB in all,
+    however often it is seen). The row state takes about 20 bytes an aircraft and group: a bitmap is smaller from some 200 aircraft of
+    one range on. No state depends on the order of rows or batches.
+    """
+    number = F.conv("icao24", 16, 10).cast("bigint") + 1  # bitmap positions count from 1
+    rows = df.select(by, F.date_trunc(grain, "observed_at").alias(grain), number.alias("number"))
+    placed = rows.select(by, grain, F.call_function("bitmap_bucket_number", "number").alias("range"), F.call_function("bitmap_bit_position", "number").alias("place"))
+    return placed.groupBy(by, grain, "range").agg(F.call_function("bitmap_construct_agg", "place").alias("aircraft"))
+
+
+def merge_bitmaps(*states: DataFrame) -> DataFrame:
+    """Bitmap states of separate inserts as one: the bits are or-ed."""
+    every = reduce(lambda a, b: a.unionByName(b), states)
+    keys = [c for c in every.columns if c != "aircraft"]
+    return every.groupBy(*keys).agg(F.call_function("bitmap_or_agg", "aircraft").alias("aircraft"))
+
+
+def distinct_bitmap_final(state: DataFrame, by: str = "origin_country", grain: str = "hour") -> DataFrame:
+    """active_aircraft per group of a bitmap state, merged or not."""
+    return merge_bitmaps(state).groupBy(by, grain).agg(F.sum(F.call_function("bitmap_count", "aircraft")).alias("active_aircraft"))

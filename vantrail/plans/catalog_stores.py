@@ -164,3 +164,49 @@ def exact_ids(c: Case) -> DataFrame:
 
 
 add("t9_exact_dedupe", exact_ids, "SELECT DISTINCT event_id, icao24 FROM feed")
+
+
+def collapsing_table(c: Case) -> Table:
+    """Five batches of deliveries, the third one twice."""
+    table = Table(c.spark, f"{shared_folder(c.spark, 'tables')}/columnar", c.feed.schema, "observed_at")
+    parts = slices(c, 5)
+    for k in (0, 1, 2, 2, 3, 4):
+        stores.append_collapsing(table, parts[k], "columnar/direct", k)
+    return table
+
+
+def merged_rows(c: Case) -> DataFrame:
+    table = collapsing_table(c)
+    stores.collapse_all(table)
+    return table.read()
+
+
+COLLAPSED = f"SELECT {SEEN} FROM feed QUALIFY row_number() OVER (PARTITION BY icao24, observed_at, event_id ORDER BY seq DESC) = 1"
+add("d3_stored_before_merge", lambda c: stores.read_collapsed(collapsing_table(c)), COLLAPSED)
+add("d3_stored_after_merge", merged_rows, COLLAPSED)
+
+
+def lake_table(c: Case) -> Table:
+    table = Table(c.spark, f"{shared_folder(c.spark, 'tables')}/lake", c.feed.schema, "observed_at")
+    for k, batch in enumerate(slices(c, 4)):
+        stores.append_lake(table, batch, "lake/direct", k)
+    return table
+
+
+add("s10_lake_parts", lambda c: lake_table(c).read(), f"SELECT {SEEN} FROM feed")
+add(
+    "s11_lake_parts_pruned",
+    lambda c: stores.read_lake_parts(lake_table(c), c.as_of - timedelta(days=7), None, ["NATION_3"]),
+    f"SELECT {SEEN} FROM feed WHERE origin_country = 'NATION_3' AND observed_at >= {LAST} - INTERVAL 7 DAY",
+)
+
+
+def bitmaps(c: Case) -> DataFrame:
+    return r.distinct_bitmap_final(r.merge_bitmaps(*[r.distinct_bitmap_state(batch) for batch in slices(c, 3)]))
+
+
+add(
+    "a10_distinct_bitmaps",
+    bitmaps,
+    "SELECT origin_country, date_trunc('hour', observed_at) AS hour, count(DISTINCT icao24) AS active_aircraft FROM feed GROUP BY 1, 2",
+)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from collections.abc import Callable, Sequence
 from datetime import datetime
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from vantrail.operators.dedupe import collapse_versions
 from vantrail.operators.rollups import merge_states
 from vantrail.operators.state import latest_state, merge_state
 from vantrail.sources.versions import Part, Snapshot, Table
@@ -25,14 +28,19 @@ def add_rollup(table: Table, state: DataFrame, writer: str, batch_id: int, fanou
     A level holds fewer than ``fanout`` parts afterwards, so after n batches a reader opens at most (fanout - 1) * (log_fanout(n) + 1)
     of them, and each row is rewritten once per level.
     """
+    add_level(table, state, writer, batch_id, merge_states, fanout)
+
+
+def add_level(table: Table, rows: DataFrame, writer: str, batch_id: int, merge: Callable[[DataFrame], DataFrame], fanout: int = FANOUT) -> None:
+    """Add one batch as a part of the lowest level, once; full levels go through ``merge`` into the next."""
     now = table.snapshot()
     if not now.contains(writer, batch_id):
-        now = table.commit(now, add=table.write(state), applied=(writer, batch_id))
-    compact(table, now, fanout)
+        now = table.commit(now, add=table.write(rows), applied=(writer, batch_id))
+    compact(table, now, fanout, merge)
 
 
-def compact(table: Table, now: Snapshot | None = None, fanout: int = FANOUT) -> Snapshot:
-    """Merge every level that has ``fanout`` parts or more. What is read stays the same at every commit."""
+def compact(table: Table, now: Snapshot | None = None, fanout: int = FANOUT, merge: Callable[[DataFrame], DataFrame] = merge_states) -> Snapshot:
+    """Merge every level that has ``fanout`` parts or more. What a reader makes of the table stays the same at every commit."""
     now = now or table.snapshot()
     while True:
         levels: dict[int, list[Part]] = defaultdict(list)
@@ -42,7 +50,7 @@ def compact(table: Table, now: Snapshot | None = None, fanout: int = FANOUT) ->
         if not full:
             return now
         old = levels[full[0]]
-        now = table.commit(now, add=table.write(merge_states(table.read_parts(old)), full[0] + 1), drop=old)
+        now = table.commit(now, add=table.write(merge(table.read_parts(old)), full[0] + 1), drop=old)
 
 
 # ---- state -------------------------------------------------------------------------------------------------------
@@ -128,3 +136,64 @@ def expire(table: Table, limit: datetime) -> Snapshot:
         return now
     kept = table.write(table.read_parts(border).filter(F.col(table.time) >= F.lit(limit))) if border else []
     return table.commit(now, add=kept, drop=old)
+
+
+# ---- columnar rows, collapsed as they merge ------------------------------------------------------------------------
+def append_collapsing(table: Table, batch: DataFrame, writer: str, batch_id: int, fanout: int = FANOUT) -> None:
+    """Append every delivery, once. Merges keep the last insert of each (aircraft, time, id), so repeats fade in the background."""
+    add_level(table, batch, writer, batch_id, collapse_versions, fanout)
+
+
+def read_collapsed(table: Table, version: int | None = None) -> DataFrame:
+    """The rows as if all merges had been done: exact at any moment, and cheaper the more of them have been."""
+    return collapse_versions(table.read(version))
+
+
+def collapse_all(table: Table) -> Snapshot:
+    """Merge all parts into one, after which a plain read is collapsed."""
+    now = table.snapshot()
+    if len(now.parts) < 2:
+        return now
+    return table.commit(now, add=table.write(collapse_versions(table.read(now)), max(p.level for p in now.parts) + 1), drop=now.parts)
+
+
+# ---- lake ------------------------------------------------------------------------------------------------------------
+#: Rows of a part of the lake that needs no more merging.
+LAKE_ROWS = 5_000_000
+_LAKE_DAY, _LAKE_TAG = "_day", "_tag"
+
+
+def _write_lake_parts(table: Table, rows: DataFrame, by: str) -> list[Part]:
+    """Rows by day and group, in order of time inside; one part per day and group."""
+    folder = table.folder()
+    placed = rows.withColumn(_LAKE_DAY, F.date_format(table.time, "yyyy-MM-dd")).withColumn(_LAKE_TAG, F.base64(F.encode(by, "utf-8")))
+    ordered = placed.repartitionByRange(_LAKE_DAY, _LAKE_TAG, table.time).sortWithinPartitions(_LAKE_DAY, _LAKE_TAG, table.time)
+    ordered.write.partitionBy(_LAKE_DAY, _LAKE_TAG).parquet(f"{table.path}/{folder}")
+    places = {r["tag"]: r["place"] for r in ordered.select(F.col(by).alias("tag"), F.col(_LAKE_TAG).alias("place")).distinct().collect()}
+    tags = {place: tag for tag, place in places.items()}
+    return table.measured(folder, [_LAKE_DAY, _LAKE_TAG], lambda r: Part(f"{folder}/{_LAKE_DAY}={r[_LAKE_DAY]}/{_LAKE_TAG}={quote(r[_LAKE_TAG])}", tag=tags[r[_LAKE_TAG]]))
+
+
+def append_lake(table: Table, batch: DataFrame, writer: str, batch_id: int, by: str = "origin_country", lake_rows: int = LAKE_ROWS, fanout: int = FANOUT) -> Snapshot:
+    """Append a batch to the lake, once, and merge the small parts of any day and group that has ``fanout`` of them."""
+    now = table.snapshot()
+    if not now.contains(writer, batch_id):
+        now = table.commit(now, add=_write_lake_parts(table, batch, by), applied=(writer, batch_id))
+    return compact_lake(table, now, by, lake_rows, fanout)
+
+
+def compact_lake(table: Table, now: Snapshot | None = None, by: str = "origin_country", lake_rows: int = LAKE_ROWS, fanout: int = FANOUT) -> Snapshot:
+    """Merge parts of fewer than ``lake_rows`` rows that share day and group, where there are ``fanout`` or more, in one job and one commit."""
+    now = now or table.snapshot()
+    small: dict[tuple, list[Part]] = defaultdict(list)
+    for part in now.parts:
+        if part.rows < lake_rows:
+            small[part.tag, part.low.date()].append(part)
+    old = [part for parts in small.values() if len(parts) >= fanout for part in parts]
+    return table.commit(now, add=_write_lake_parts(table, table.read_parts(old), by), drop=old) if old else now
+
+
+def read_lake_parts(table: Table, since: datetime | None = None, until: datetime | None = None, tags: Sequence[str] | None = None, by: str = "origin_country") -> DataFrame:
+    """Lake rows of [since, until) and of the named groups. Which files to open is decided by the manifest, without listing folders."""
+    rows = table.between(since, until, keep=lambda p: tags is None or p.tag is None or p.tag in tags)
+    return rows if tags is None else rows.filter(F.col(by).isin(*tags))

@@ -35,14 +35,16 @@ MANIFEST = (
     .add("low", T.TimestampType())
     .add("high", T.TimestampType())
     .add("rows", T.LongType())
+    .add("tag", T.StringType())
     .add("writer", T.StringType())
     .add("batch_id", T.LongType())
 )
+PART_FIELDS = MANIFEST.fieldNames()[:-2]
 
 
 @dataclass(frozen=True)
 class Part:
-    """A live folder below the table; ``name`` is empty for a bucket without rows."""
+    """A live folder below the table; ``name`` is empty for a bucket without rows, ``tag`` the group that it holds alone."""
 
     name: str
     level: int = 0
@@ -51,6 +53,7 @@ class Part:
     low: datetime | None = None
     high: datetime | None = None
     rows: int = 0
+    tag: str | None = None
 
 
 @dataclass(frozen=True)
@@ -92,7 +95,7 @@ class Table:
         found = rows.filter(F.col("version") == version).collect()
         if not found:
             raise ValueError(f"version {version} of {self.path} does not exist (any more)")
-        parts = [Part(*[r[c] for c in MANIFEST.fieldNames()[:7]]) for r in found if r["part"] is not None]
+        parts = [Part(*[r[c] for c in PART_FIELDS]) for r in found if r["part"] is not None]
         return Snapshot(version, tuple(parts), tuple((r["writer"], r["batch_id"]) for r in found if r["writer"] is not None))
 
     def commit(self, base: Snapshot, add: Iterable[Part] = (), drop: Iterable[Part] = (), applied: tuple[str, int] | None = None) -> Snapshot:
@@ -100,10 +103,10 @@ class Table:
         gone = set(drop)
         parts = [*[p for p in base.parts if p not in gone], *add]
         writers = dict(base.applied) | (dict([applied]) if applied else {})
-        rows = [(p.name, p.level, p.depth, p.bucket, p.low, p.high, p.rows, None, None) for p in parts]
-        rows += [(None,) * 7 + (writer, batch) for writer, batch in writers.items()]
+        rows = [(p.name, p.level, p.depth, p.bucket, p.low, p.high, p.rows, p.tag, None, None) for p in parts]
+        rows += [(None,) * len(PART_FIELDS) + (writer, batch) for writer, batch in writers.items()]
         # A version that holds nothing must be told from one that was cut off while it was written.
-        rows += [] if rows else [(None,) * 7 + ("", -1)]
+        rows += [] if rows else [(None,) * len(PART_FIELDS) + ("", -1)]
         version = base.version + 1
         target = f"{self.path}/versions/version={version}"
         record = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
@@ -146,14 +149,16 @@ class Table:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)
 
-    def between(self, since: datetime | None = None, until: datetime | None = None, version: int | None = None) -> DataFrame:
-        """Rows of [since, until) of the time column; parts outside are not opened."""
+    def between(
+        self, since: datetime | None = None, until: datetime | None = None, version: int | None = None, keep: Callable[[Part], bool] = lambda part: True
+    ) -> DataFrame:
+        """Rows of [since, until) of the time column; parts outside, or that ``keep`` refuses, are not opened."""
         if self.time is None:
             raise ValueError("this table keeps no time ranges")
         def meets(p: Part) -> bool:
             return (since is None or p.high is None or p.high.astimezone() >= since.astimezone()) and (until is None or p.low is None or p.low.astimezone() < until.astimezone())
 
-        rows = self.read(version, meets)
+        rows = self.read(version, lambda p: keep(p) and meets(p))
         if since is not None:
             rows = rows.filter(F.col(self.time) >= F.lit(since))
         return rows if until is None else rows.filter(F.col(self.time) < F.lit(until))
