@@ -34,6 +34,8 @@ PENALTY = 15.0
 UNKNOWN = "und"
 #: A language is a candidate for words of a script that has at least this share of its letters.
 SCRIPT_SHARE = 0.02
+#: Letters handled at once in a task; each takes some 60 bytes and 4 per language.
+LETTERS = 1 << 19
 #: The model has BUCKETS numbers per language and travels to every task.
 MOST_LANGUAGES = 500
 
@@ -95,7 +97,7 @@ def letters_of(texts: list[str]) -> Letters:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", LETTERS):
             langs = part.column("lang").to_pylist()
             texts = part.column("text").to_pylist()
             for lang in sorted(set(langs)):
@@ -162,7 +164,7 @@ _SPANS = "array<struct<start:int,words:int,lang:string>>"
 
 def _label(model: Model):
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
-    letters_at_once = max(1 << 16, (1 << 23) // max(1, len(model.names)))
+    letters_at_once = max(1 << 16, min(LETTERS, (1 << 23) // max(1, len(model.names))))
 
     def label_texts(texts: list[str]) -> list[tuple[str, float, list[dict]]]:
         found = letters_of(texts)

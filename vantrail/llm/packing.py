@@ -35,8 +35,8 @@ from vantrail.session import spool
 
 CAPACITY = 4096
 END = 1
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Words whose ids a worker remembers, twice over; it keeps them from task to task, beside whatever the next stage needs.
+REMEMBERED = 150_000
 #: Marks that are a piece of their own behind letters, and the first letter beyond those whose small form is one letter in normal form.
 MARKS = ".,;:!?"
 SIMPLE = "\u0250"
