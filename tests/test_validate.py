@@ -31,6 +31,7 @@ BAD = [
     ({"icao24": "xyz"}, 'icao24 must be 6 lowercase hex chars: "xyz"'),
     ({"icao24": "abc12g"}, 'icao24 must be 6 lowercase hex chars: "abc12g"'),
     ({"icao24": "abc123\n"}, 'icao24 must be 6 lowercase hex chars: "abc123\\n"'),
+    ({"icao24": "\x1b\x00é\U0001f600\\"}, 'icao24 must be 6 lowercase hex chars: "\\x1b\\x00é\U0001f600\\\\"'),
     ({"origin_country": ""}, "origin_country is required"),
     ({"observed_at": ""}, "observed_at is required"),
     ({"position_source": ""}, "position_source is required"),

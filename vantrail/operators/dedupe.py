@@ -26,6 +26,10 @@ def collapse_versions(
     return first_per_key(df, list(key), [F.col(seq).desc()])
 
 
-def read_time_distinct(df: DataFrame, id: str = "event_id", order: str = "ingested_at") -> DataFrame:
-    """One row per id when reading a lake that keeps repeats of other flushes."""
+def read_time_distinct(df: DataFrame, id: str = "event_id", order: str | None = None) -> DataFrame:
+    """One row per id when reading a lake that keeps repeats of other flushes: the first to arrive.
+
+    ``order`` names the column of arrival: ``ingested_at`` where the lake has it, else ``seq``.
+    """
+    order = order or ("ingested_at" if "ingested_at" in df.columns else "seq")
     return first_per_key(df, [id], [F.col(order).asc(), F.col("observed_at").desc()])

@@ -18,19 +18,21 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n
 
 
 def running_max_before(
-    df: DataFrame, key: str, seq: str, value: str, out: str, slice_width: int = 1_000_000
+    df: DataFrame, key: str, seq: str, value: str, out: str, slice_width: int = 1_000_000, start: DataFrame | None = None
 ) -> DataFrame:
-    """Largest ``value`` of the same key among the rows with a smaller ``seq``.
+    """Largest ``value`` of the same key among the rows with a smaller ``seq``, and in ``start``, a table of (key, value).
 
     ``seq`` is a unique whole number per key (an arrival offset). Rows are cut
     into slices of ``slice_width`` offsets, so no sort sees more rows of a key
     than that. The slice maxima are aggregated map-side, made cumulative over
-    the few slices of a key and joined back.
+    the few slices of a key and joined back. ``start`` meets these few rows of a key only, never the rows of a large one.
     """
     sliced = df.withColumn("_slice", F.floor(F.col(seq) / slice_width))
     tops = sliced.groupBy(key, "_slice").agg(F.max(value).alias("_top"))
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     tops = tops.select(key, "_slice", F.max("_top").over(earlier).alias("_before"))
+    if start is not None:
+        tops = tops.join(start.select(key, F.col(value).alias("_start")), key, "left").select(key, "_slice", F.greatest("_before", "_start").alias("_before"))
     inside = Window.partitionBy(key, "_slice").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     return (
         sliced.join(tops, [key, "_slice"])

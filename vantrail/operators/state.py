@@ -42,18 +42,13 @@ def apply_outcomes(
     if raw is not None:
         firsts = firsts.join(raw.select("event_id"), "event_id", "left_anti")
     marked = (
-        running_max_before(batch, "icao24", "seq", "observed_at", "_newest", slice_width)
+        running_max_before(batch, "icao24", "seq", "observed_at", "_newest", slice_width, state)
         # An id and its first arrival are unique together, so a repeated id adds
         # no matches here.
         .join(firsts.withColumnRenamed("event_id", "_id"), (F.col("event_id") == F.col("_id")) & (F.col("seq") == F.col("_first_seq")), "left")
         .withColumn("raw_inserted", F.col("_id").isNotNull())
     )
-    if state is not None:
-        held = state.select(F.col("icao24"), F.col("observed_at").alias("_held_at"))
-        marked = marked.join(held, "icao24", "left")
-    else:
-        marked = marked.withColumn("_held_at", F.lit(None).cast("timestamp"))
-    bar = F.greatest("_newest", "_held_at")
+    bar = F.col("_newest")
     return marked.withColumn("state_updated", bar.isNull() | (F.col("observed_at") > bar)).select(
         "event_id", "icao24", "observed_at", "seq", "raw_inserted", "state_updated"
     )

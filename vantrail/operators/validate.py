@@ -37,17 +37,17 @@ MESSAGES = {
     "v14": "squawk must be 4 octal digits (0-7): %s",
     "v15": "category out of OpenSky range [0, 20]: %d",
 }
-# How a quoted value shows characters that would break its line. The backslash comes first.
+# How a quoted value shows characters that would break its line.
 QUOTED = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\x07": "\\a", "\x08": "\\b", "\x0b": "\\v", "\x0c": "\\f", "\x7f": "\\x7f"}
+QUOTED |= {chr(c): f"\\x{c:02x}" for c in range(32) if chr(c) not in QUOTED}  # the other control characters by number
 ACCEPTED_OUTCOME, REFUSED_OUTCOME, TOO_LARGE_OUTCOME = 202, 400, 413
 # -----------------------------------------------------------------------------
 
 
 def _quoted(text: Column) -> Column:
-    inner = text
-    for plain, escaped in QUOTED.items():
-        inner = F.replace(inner, F.lit(plain), F.lit(escaped))
-    return F.concat(F.lit('"'), inner, F.lit('"'))
+    table = F.create_map(*[F.lit(x) for pair in QUOTED.items() for x in pair])
+    shown = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    return F.concat(F.lit('"'), F.array_join(shown, ""), F.lit('"'))
 
 
 def rules(get: Getter, as_of: datetime) -> dict[str, tuple[Column, Column | None]]:

@@ -216,12 +216,8 @@ def poisoned(c: Case) -> DataFrame:
     landing, root, marks = (shared_folder(c.spark, p) for p in ("topic", "tables", "marks"))
     damaged_topic(c).withColumnRenamed("n", "seq").write.parquet(landing)
     stream = c.spark.readStream.schema("seq bigint, key binary, value binary").parquet(landing)
-
-    def sink(batch, batch_id):
-        batch.select("seq", "error").write.mode("overwrite").parquet(tables.place(root, "poison", tables.run_of(batch), batch_id))
-
-    jobs.start(wire.decode_topic(stream), "poison", sink, marks, drain=True).awaitTermination()
-    rows = c.spark.read.parquet(root)
+    jobs.start(wire.decode_topic(stream), "poison", sinks.outcome_sink(root), marks, drain=True).awaitTermination()
+    rows = c.spark.read.parquet(f"{root}/outcomes")
     return rows.groupBy("error").agg(F.count(F.lit(1)).alias("messages"))
 
 

@@ -77,6 +77,15 @@ def columnar_sink(root: str, group: str = "columnar", rollups: tuple[str, ...] =
     return _held(run)
 
 
+def outcome_sink(root: str, group: str = "poison") -> BatchSink:
+    """What became of each value of a decoded topic: ``seq`` and ``error``, which is null for good ones, so that bad ones are counted and passed over."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.select("seq", "error").write.mode("overwrite").parquet(place(f"{root}/outcomes", group, run_of(batch), batch_id))
+
+    return run
+
+
 def lake_sink(root: str, group: str = "lake") -> BatchSink:
     """One row per id and flush, into the day and country layout."""
 
