@@ -328,6 +328,25 @@ add(
 )
 
 
+def lag(c: Case) -> DataFrame:
+    """A consumer reads what has landed of the topic by two thirds of its offsets; the rest waits, and one partition is not begun."""
+    landing, root, marks = (shared_folder(c.spark, p) for p in ("topic", "tables", "marks"))
+    rows = c.telemetry.select(F.lit("telemetry").alias("topic"), F.pmod("n", F.lit(4)).cast("int").alias("partition"), C("n").alias("offset"))
+    landed = rows.filter((C("partition") < 3) & (C("offset") <= c.telemetry.agg(F.max("n")).first()[0] * 2 // 3))
+    landed.write.parquet(landing)
+    stream = c.spark.readStream.schema(landed.schema).parquet(landing)
+    jobs.start(stream, "progress", sinks.progress_sink(root), marks, drain=True).awaitTermination()
+    return metrics.partition_lag(rows, c.spark.read.parquet(f"{root}/progress").select("topic", "partition", "offset"))
+
+
+add(
+    "t11_partition_lag",
+    lag,
+    "SELECT 'telemetry' AS topic, (n % 4)::INT AS partition, max(n) AS latest, max(n) FILTER (WHERE n % 4 < 3 AND n <= edge) AS consumed, "
+    "count(*) FILTER (WHERE n % 4 = 3 OR n > edge) AS lag FROM (SELECT n, (SELECT max(n) * 2 // 3 FROM tel) AS edge FROM tel) GROUP BY 1, 2",
+)
+
+
 def consumer_metrics(c: Case) -> DataFrame:
     rows = damaged_topic(c).withColumn("partition", (C("n") % 3).cast("int")).drop("n")
     return metrics.topic_metrics(rows)

@@ -20,6 +20,24 @@ def topic_metrics(topic: DataFrame) -> DataFrame:
     )
 
 
+def partition_progress(batch: DataFrame) -> DataFrame:
+    """The last offset of each topic and partition in a batch, for ``partition_lag``; one row a partition."""
+    return batch.groupBy("topic", "partition").agg(F.max("offset").alias("offset"))
+
+
+def partition_lag(topic: DataFrame, progress: DataFrame) -> DataFrame:
+    """Per partition: the last offset there is, the last one consumed (null: none), and how many messages wait.
+
+    ``progress`` are the rows of ``partition_progress`` of any batches, in any order. Offsets are counted, not subtracted, since
+    a topic may have gaps. Both sides come down to a row a partition before and after they meet.
+    """
+    done = progress.groupBy("topic", "partition").agg(F.max("offset").alias("consumed"))
+    waits = F.col("consumed").isNull() | (F.col("offset") > F.col("consumed"))
+    return topic.join(done, ["topic", "partition"], "left").groupBy("topic", "partition").agg(
+        F.max("offset").alias("latest"), F.max("consumed").alias("consumed"), F.count_if(waits).alias("lag")
+    )
+
+
 def count_decoded(decoded: DataFrame, name: str = "decode") -> DataFrame:
     """Let the query count good and bad rows as it runs; read by the listener."""
     return decoded.observe(

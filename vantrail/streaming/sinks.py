@@ -17,6 +17,7 @@ from vantrail.sources.lake import write_lake
 from vantrail.sources.stores import BUCKET_ROWS, add_rollup, append_days, upsert_buckets
 from vantrail.sources.tables import append_columnar, append_raw, append_rollup, place, run_of, upsert_state
 from vantrail.sources.versions import Table
+from vantrail.streaming.metrics import partition_progress
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -86,6 +87,15 @@ def outcome_sink(root: str, group: str = "poison") -> BatchSink:
     return run
 
 
+def progress_sink(root: str, group: str = "progress") -> BatchSink:
+    """How far a consumer has come in each partition, one row per batch and partition."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        partition_progress(batch).write.mode("overwrite").parquet(place(f"{root}/progress", group, run_of(batch), batch_id))
+
+    return run
+
+
 def lake_sink(root: str, group: str = "lake") -> BatchSink:
     """One row per id and flush, into the day and country layout."""
 
