@@ -6,10 +6,11 @@ with a smaller doc_id; a word goes when such a window covers it.
 1. *Which suffixes can repeat.* The anchor of a window is the least of its ``GRAM``-word hashes. Equal
    windows have equal anchors, and about 6 windows in a row share one, so anchors are a sixth
    of the suffixes. The documents of every anchor are counted; anchors of one document are dropped.
-2. *Groups.* Windows in a row with one anchor are a run: it holds their suffixes up to ``WINDOW`` words, as
-   64-bit word hashes. Runs go to groups by anchor. Groups are of about ``GROUP_RUNS`` runs: many
+2. *Groups.* Windows in a row with one anchor are a run: it holds a 64-bit hash of each, made from the 64-bit
+   hashes of its words. Runs go to groups by anchor. Groups are of about ``GROUP_RUNS`` runs: many
    rare anchors share a group, and an anchor with more runs is split by document.
-3. *Equal windows.* In a group the windows are sorted by a 64-bit hash, and neighbours are compared word by word.
+3. *Equal windows.* In a group the windows are sorted by their hashes; two different windows of one anchor share
+   one with a probability of about 2**-64, as everywhere here.
    Of equal windows every one goes, but for those of the smallest document. Of a split anchor, each part names the
    smallest document of its windows, and those few meet in a second round of the same kind.
 4. *Removal.* Marked windows go back to their document, and its words are cut.
@@ -35,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vantrail.llm.words import Words, mixed, slices, split_words
+from vantrail.llm.words import Words, slices, split_words
 from vantrail.session import spool
 
 WINDOW = 13
@@ -105,8 +106,8 @@ def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keep[a:b] = mine[k] == anchors[a:b]
                 split[a:b] = into[ends[d] : ends[d + 1]][where][k]
             starts, lengths = _runs(anchors, keep & whole, doc)
-            hashes = words.hashes.astype("<u8").tobytes()
-            rows = [hashes[8 * a : 8 * (a + n + WINDOW - 1)] for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
+            hashes = words.grams(WINDOW)[0].astype("<u8").tobytes()
+            rows = [hashes[8 * a : 8 * (a + n)] for a, n in zip(starts.tolist(), lengths.tolist(), strict=True)]
             owner = doc[starts]
             columns = [
                 pa.array(anchors[starts].view(np.int64)),
@@ -124,19 +125,12 @@ _MARKS = "doc_id long, tag long, start int, length int, anchor long, words binar
 
 def repeats_in(runs: pd.DataFrame) -> pd.DataFrame:
     """Windows below the deep nodes of one group; with ``words``: the smallest document of a node of a split anchor."""
-    sizes = runs["words"].str.len().to_numpy(np.int64) // 8
-    every = np.frombuffer(b"".join(runs["words"]), "<u8")
-    counts = sizes - WINDOW + 1
+    counts = runs["words"].str.len().to_numpy(np.int64) // 8
+    key = np.frombuffer(b"".join(runs["words"]), "<u8")
     row = np.repeat(np.arange(len(runs)), counts)
     within = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = np.repeat(np.cumsum(sizes) - sizes, counts) + within
-    suffix = every[at[:, None] + np.arange(WINDOW)]
-    key = np.zeros(len(at), np.uint64)
-    for j in range(WINDOW):  # suffixes with a common prefix of WINDOW words become neighbours
-        key = mixed(key + suffix[:, j].astype(np.uint64) + np.uint64(j + 1))
     order = np.argsort(key, kind="stable")
-    ordered = suffix[order]
-    node = np.concatenate([[0], np.cumsum((ordered[1:] != ordered[:-1]).any(axis=1))]) if len(order) else order
+    node = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])]) if len(order) else order
     doc = runs["doc_id"].to_numpy(np.int64)[row][order]
     firsts = np.flatnonzero(np.diff(node, prepend=-1))
     least = np.minimum.reduceat(doc, firsts)[node] if len(order) else doc
@@ -169,7 +163,7 @@ def repeats_in(runs: pd.DataFrame) -> pd.DataFrame:
             "start": (runs["start"].to_numpy()[row[leads]] + within[leads]).astype(np.int32),
             "length": np.zeros(len(leads), np.int32),
             "anchor": runs["anchor"].to_numpy()[row[leads]],
-            "words": [suffix[i].tobytes() for i in leads],
+            "words": [key[i].tobytes() for i in leads],
         }
     )
     return pd.concat([marks, lead])
