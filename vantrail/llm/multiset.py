@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from vantrail.functions.columns import computed_once
 from vantrail.session import spool
 
 EQUAL = 4
@@ -65,19 +66,32 @@ def _total(values: Column, of) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda s, x: s + of(x))
 
 
-def with_fingerprints(df: DataFrame, texts: dict[str, str]) -> DataFrame:
-    """Adds a vector of longs per text: ``texts`` maps the new column to the text column."""
+def with_sums(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """Adds the packed form of a fingerprint per text: ``texts`` maps the new column to the text column.
+
+    It is what is stored and sent: a quarter of the vector, for a text of up to BLOCK paragraphs.
+    """
     hashed = df.select("*", *(
         F.transform(paragraphs(F.col(text)), lambda p: F.array(*(F.xxhash64(p, F.lit(seed)) for seed in range(EQUAL)))).alias(f"_hashed_{name}")
         for name, text in texts.items()
     ))
-    vectors = []
+    sums = {}
     for name in texts:
         h = F.col(f"_hashed_{name}")
         equal = [_wide(_total(h, lambda x, i=i: _high(x[i])), _total(h, lambda x, i=i: _low(x[i]))) for i in range(EQUAL)]
-        vectors.append(F.struct(F.size(h).cast("long").alias("n"), F.array(*equal).alias("equal"), _packed(h).alias("packed")).alias(f"_sums_{name}"))
-    summed = hashed.select(*df.columns, *vectors)
-    return summed.select(*df.columns, *(F.concat(F.array(s["n"]), s["equal"], _lanes(s["packed"])).alias(name) for name in texts for s in [F.col(f"_sums_{name}")]))
+        sums[name] = F.struct(F.size(h).cast("long").alias("n"), F.array(*equal).alias("equal"), _packed(h).alias("packed"))
+    return computed_once(hashed, **sums).select(*df.columns, *texts)
+
+
+def vector_of(sums: Column) -> Column:
+    """The vector of longs of a packed fingerprint."""
+    return F.concat(F.array(sums["n"]), sums["equal"], _lanes(sums["packed"]))
+
+
+def with_fingerprints(df: DataFrame, texts: dict[str, str]) -> DataFrame:
+    """Adds a vector of longs per text: ``texts`` maps the new column to the text column."""
+    summed = with_sums(df, {f"_sums_{name}": text for name, text in texts.items()})
+    return summed.select(*df.columns, *(vector_of(F.col(f"_sums_{name}")).alias(name) for name in texts))
 
 
 def _packed(hashes: Column) -> Column:
@@ -167,27 +181,18 @@ def edited_texts(docs: DataFrame) -> DataFrame:
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` with both fingerprints and both likenesses."""
-    pairs = with_fingerprints(edited_texts(docs), {"vector": "text", "edited_vector": "edited"})
-    rows = spool(
-        pairs.select(
-            "doc_id",
-            "next_id",
-            F.length("text").cast("long").alias("n_chars"),
-            F.sha2("edited", 256).alias("edited_sha256"),
-            "vector",
-            "edited_vector",
-            likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
-        ),
-        "multiset",
-    )
-    nexts = rows.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("vector").alias("next_vector"))
-    return rows.join(nexts, "next_id", "left").select(
+    pairs = with_sums(edited_texts(docs), {"own": "text", "changed": "edited"})
+    rows = spool(pairs.select("doc_id", "next_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "own", "changed"), "multiset")
+    nexts = rows.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("following"))
+    joined = rows.join(nexts, "next_id", "left")
+    wide = computed_once(joined, vector=vector_of(F.col("own")), edited_vector=vector_of(F.col("changed")), next_vector=vector_of(F.col("following")))
+    return wide.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         as_text(F.col("vector")).alias("fingerprint"),
         as_text(F.col("edited_vector")).alias("edited_fingerprint"),
-        "near_edited",
+        likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
         F.coalesce(likeness(F.col("vector"), F.col("next_vector")), F.lit(0.0)).alias("near_next"),
     )
 
