@@ -45,6 +45,7 @@ state AS (SELECT icao24, callsign AS last_callsign, origin_country, observed_at,
   velocity_ms, on_ground, squawk AS last_squawk, event_id AS last_event_id FROM latest)
 """
 
+# The messages below are those of the contract, as in MESSAGES of operators/validate.py and in sources/payloads.py.
 # Requests: one row per event with its fault number and its place in a body.
 REQUESTS = """,
 req AS (
