@@ -11,7 +11,7 @@ from vantrail.plans.catalog import Case
 from vantrail.plans.catalog_checks import LAST
 from vantrail.plans.catalog_streams import SEEN, add, run, run_with_new_checkpoint
 from vantrail.plans.oracle import airline_hour, country_hour, grid_final
-from vantrail.plans.staging import replay
+from vantrail.plans.staging import ends, replay, stage, steps
 from vantrail.session import shared_folder
 from vantrail.sources import stores
 from vantrail.sources.versions import Table
@@ -23,10 +23,10 @@ SMALL_BUCKET = 40
 
 
 def slices(c: Case, n: int) -> list[DataFrame]:
-    """The feed as ``n`` batches in arrival order."""
-    low, high = c.feed.agg(F.min("seq"), F.max("seq")).first()
-    width = (high - low) // n + 1
-    return [c.feed.filter((C("seq") >= low + k * width) & (C("seq") < low + (k + 1) * width)) for k in range(n)]
+    """The feed as ``n`` batches in arrival order, computed and written once."""
+    cuts = steps(*ends(c.feed), n)
+    staged = stage(c.feed, cuts)
+    return [staged.read(since, until) for since, until in zip(cuts, [*cuts[1:], None], strict=True)]
 
 
 def many_batches(c: Case) -> DataFrame:

@@ -12,7 +12,7 @@ from vantrail.operators.invariants import table_difference
 from vantrail.plans.catalog import add as add_query, Case
 from vantrail.plans.catalog_ingest import SIZE, damaged_topic
 from vantrail.plans.oracle import FIELDS, airline_hour, country_hour, grid_final
-from vantrail.plans.staging import replay
+from vantrail.plans.staging import ends, replay, replay_staged, stage, steps
 from vantrail.schema import TELEMETRY_COLUMNS
 from vantrail.session import shared_folder
 from vantrail.sources import tables, topic, wire
@@ -25,20 +25,28 @@ add = partial(add_query, rounded=("avg_velocity_ms", "avg_baro_altitude_m", "sum
 SEEN = f"{FIELDS}, seq"
 
 
-def run(c: Case, make: dict, arrivals: DataFrame | None = None, root: str | None = None, rounds: int = 3) -> str:
+def run(c: Case, make: dict, arrivals: DataFrame | None = None) -> str:
     """Replay through sinks given as name -> maker(root), under new checkpoints; returns their root."""
-    root, marks = root or shared_folder(c.spark, "tables"), shared_folder(c.spark, "marks")
-    built = {name: maker(root) for name, maker in make.items()}
-    replay(c.spark, c.feed if arrivals is None else arrivals, lambda stream: jobs.start_fanout(stream, built, marks, drain=True), rounds)
+    root = shared_folder(c.spark, "tables")
+    replay(c.spark, c.feed if arrivals is None else arrivals, fresh_start(c, make, root))
     return root
 
 
+def fresh_start(c: Case, make: dict, root: str):
+    """Starts the sinks on a stream, under checkpoints of their own."""
+    marks, built = shared_folder(c.spark, "marks"), {name: maker(root) for name, maker in make.items()}
+    return lambda stream: jobs.start_fanout(stream, built, marks, drain=True)
+
+
 def run_with_new_checkpoint(c: Case, make: dict) -> str:
     """All arrivals, then from the start again and from a later offset, each time under new checkpoints and with other batch borders."""
-    root = run(c, make)
-    run(c, make, root=root, rounds=2)
-    middle = c.feed.agg(F.max("seq")).first()[0] // 2
-    return run(c, make, c.feed.filter(C("seq") >= middle), root, rounds=1)
+    root = shared_folder(c.spark, "tables")
+    low, high = ends(c.feed)
+    replays = [steps(low, high, 3), steps(low, high, 2), [max(low, high // 2)]]
+    staged = stage(c.feed, [cut for cuts in replays for cut in cuts])
+    for cuts in replays:
+        replay_staged(staged, fresh_start(c, make, root), cuts)
+    return root
 
 
 def batches(c: Case, path: str, schema) -> DataFrame:
@@ -231,10 +239,12 @@ add(
 
 def replayed_group(c: Case) -> DataFrame:
     """A second group reads everything again into the same raw table."""
-    root = run(c, {"operational": sinks.raw_sink})
-    marks = shared_folder(c.spark, "marks")
-    again = sinks.raw_sink(root, group="again")
-    replay(c.spark, c.feed, lambda stream: [jobs.start(stream, "again", again, marks, drain=True)], rounds=2)
+    root = shared_folder(c.spark, "tables")
+    low, high = ends(c.feed)
+    first, second = steps(low, high, 3), steps(low, high, 2)
+    staged = stage(c.feed, [*first, *second])
+    replay_staged(staged, fresh_start(c, {"operational": sinks.raw_sink}, root), first)
+    replay_staged(staged, fresh_start(c, {"again": lambda root: sinks.raw_sink(root, group="again")}, root), second)
     return batches(c, f"{root}/raw", c.feed.schema)
 
 
@@ -300,8 +310,9 @@ def replay_difference(c: Case) -> DataFrame:
     """Tables before and after the last batch is run a second time."""
     root = shared_folder(c.spark, "tables")
     sink = sinks.operational_sink(root)
-    middle = c.feed.agg(F.max("seq")).first()[0] // 2
-    early, late = c.feed.filter(C("seq") < middle), c.feed.filter(C("seq") >= middle)
+    low, high = ends(c.feed)
+    staged = stage(c.feed, [low, high // 2])
+    early, late = staged.read(until=high // 2), staged.read(high // 2)
     sink(early, 0)
     sink(late, 1)
     kept = shared_folder(c.spark, "before")

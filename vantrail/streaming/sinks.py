@@ -75,7 +75,7 @@ def columnar_sink(root: str, group: str = "columnar", rollups: tuple[str, ...] =
         for name in rollups:
             append_rollup(ROLLUPS[name](batch, dedupe=False), f"{root}/rollup_{name}", batch_id, run_of(batch), group)
 
-    return _held(run)
+    return _held(run) if rollups else run  # written once, a batch need not be kept
 
 
 def outcome_sink(root: str, group: str = "poison") -> BatchSink:
@@ -114,7 +114,7 @@ def leveled_rollup_sink(root: str, group: str = "columnar", rollups: tuple[str,
             table = Table(batch.sparkSession, f"{root}/levels_{name}", state.schema, "bucket" if name == "grid" else "hour")
             add_rollup(table, state, f"{group}/{run_of(batch)}", batch_id)
 
-    return _held(run)
+    return _held(run) if len(rollups) > 1 else run
 
 
 def bucketed_state_sink(root: str, group: str = "operational", bucket_rows: int = BUCKET_ROWS) -> BatchSink:
