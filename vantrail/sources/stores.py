@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from base64 import b64decode
 from collections import defaultdict
 from collections.abc import Callable, Sequence
 from datetime import datetime
@@ -169,9 +170,7 @@ def _write_lake_parts(table: Table, rows: DataFrame, by: str) -> list[Part]:
     placed = rows.withColumn(_LAKE_DAY, F.date_format(table.time, "yyyy-MM-dd")).withColumn(_LAKE_TAG, F.base64(F.encode(by, "utf-8")))
     ordered = placed.repartitionByRange(_LAKE_DAY, _LAKE_TAG, table.time).sortWithinPartitions(_LAKE_DAY, _LAKE_TAG, table.time)
     ordered.write.partitionBy(_LAKE_DAY, _LAKE_TAG).parquet(f"{table.path}/{folder}")
-    places = {r["tag"]: r["place"] for r in ordered.select(F.col(by).alias("tag"), F.col(_LAKE_TAG).alias("place")).distinct().collect()}
-    tags = {place: tag for tag, place in places.items()}
-    return table.measured(folder, [_LAKE_DAY, _LAKE_TAG], lambda r: Part(f"{folder}/{_LAKE_DAY}={r[_LAKE_DAY]}/{_LAKE_TAG}={quote(r[_LAKE_TAG])}", tag=tags[r[_LAKE_TAG]]))
+    return table.measured(folder, [_LAKE_DAY, _LAKE_TAG], lambda r: Part(f"{folder}/{_LAKE_DAY}={r[_LAKE_DAY]}/{_LAKE_TAG}={quote(r[_LAKE_TAG])}", tag=b64decode(r[_LAKE_TAG]).decode()))
 
 
 def append_lake(table: Table, batch: DataFrame, writer: str, batch_id: int, by: str = "origin_country", lake_rows: int = LAKE_ROWS, fanout: int = FANOUT) -> Snapshot:
