@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from vantrail.operators.reads import ACTIVE_MINUTES, DEFAULT_PAGE, active_page
+from vantrail.operators.reads import ACTIVE_MINUTES, DEFAULT_PAGE, active_page, active_pages
 from vantrail.sources.versions import Table
 
 _TOKEN = re.compile(r"([0-9]+)~(.*)")
@@ -37,3 +37,11 @@ def active_page_at(
     page = active_page(table.read(snapshot), as_of, country, cursor, limit, minutes)
     following = page.where("next_cursor is not null").select("next_cursor").first()  # at most one row has it
     return page.drop("next_cursor"), f"{snapshot.version}~{following[0]}" if following else None
+
+
+def active_pages_at(
+    table: Table, as_of: datetime, token: str | None = None, country: str | None = None, limit: int = DEFAULT_PAGE, minutes: int = ACTIVE_MINUTES
+) -> DataFrame:
+    """All pages from the token on in one job, numbered from 0: each page of a walk reads the whole version, so a walk to the end reads it as often as there are pages."""
+    version, cursor = decode_token(token)
+    return active_pages(table.read(version), as_of, country, cursor, limit, minutes)

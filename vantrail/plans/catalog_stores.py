@@ -87,17 +87,21 @@ add(
 
 
 def pages_of_a_moving_table(c: Case) -> DataFrame:
-    """All pages of the state as the first page saw it, while two more batches are committed between them."""
+    """All pages of the state as the first page saw it, while two more batches are committed: between the first two pages, and before the rest."""
     root = shared_folder(c.spark, "tables")
     sink = bucketed(root)
     batches = slices(c, 3)
     sink(batches[0], 0)
-    pages, token, waiting = [], None, batches[1:]
-    while token is not None or not pages:
-        page, token = pinned.active_page_at(bucket_table(c, root), c.as_of, token, limit=1000, minutes=60 * 24 * 400)
-        pages.append(page.withColumn("page", F.lit(len(pages))))
-        if waiting:
-            sink(waiting.pop(0), len(batches) - len(waiting) - 1)
+    table, token, page_size = bucket_table(c, root), None, {"limit": 1000, "minutes": 60 * 24 * 400}
+    pages = []
+    for k, batch in enumerate(batches[1:]):
+        if k == 0 or token is not None:
+            page, token = pinned.active_page_at(table, c.as_of, token, **page_size)
+            pages.append(page.withColumn("page", F.lit(k)))
+        sink(batch, k + 1)
+    if token is not None:
+        rest = pinned.active_pages_at(table, c.as_of, token, **page_size)
+        pages.append(rest.withColumn("page", C("page") + len(pages)))
     every = pages[0]
     for page in pages[1:]:
         every = every.unionByName(page)

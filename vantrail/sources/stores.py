@@ -6,6 +6,7 @@ import math
 from base64 import b64decode
 from collections import defaultdict
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from datetime import datetime
 from urllib.parse import quote
 
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vantrail.operators.dedupe import collapse_versions
 from vantrail.operators.rollups import merge_states
 from vantrail.operators.state import latest_state, merge_state
-from vantrail.sources.versions import Part, Snapshot, Table
+from vantrail.sources.versions import BUCKET, DEPTH, FOLDER, Part, Snapshot, Table
 
 #: Parts of one level that are merged into one of the next.
 FANOUT = 4
@@ -55,7 +56,9 @@ def compact(table: Table, now: Snapshot | None = None, fanout: int = FANOUT, mer
 
 
 # ---- state -------------------------------------------------------------------------------------------------------
-DEPTH, BUCKET = "_depth", "_bucket"
+#: Bits of the hash by which the buckets that a batch writes share folders: 64 folders a batch at most, however many buckets.
+FOLDER_BITS = 6
+_SHARE = "_share"
 
 
 def _bucket(key: str, depth: Column) -> Column:
@@ -75,11 +78,22 @@ def _placed(rows: DataFrame, now: Snapshot, key: str) -> DataFrame:
     return tried.withColumn(BUCKET, _bucket(key, F.col(DEPTH))).join(buckets, [DEPTH, BUCKET], "left_semi")
 
 
+def _worn(now: Snapshot, dropped: set[Part]) -> list[Part]:
+    """Parts in folders of which less than half would still count without ``dropped``."""
+    folders: dict[str, list[Part]] = defaultdict(list)
+    for part in now.parts:
+        if part.name and part not in dropped:
+            folders[part.name].append(part)
+    return [p for its in folders.values() if its[0].stored and 2 * sum(p.rows for p in its) < its[0].stored for p in its]
+
+
 def upsert_buckets(table: Table, batch: DataFrame, writer: str, batch_id: int, key: str = "icao24", bucket_rows: int = BUCKET_ROWS) -> Snapshot:
     """Merge a batch into the latest state, once, and rewrite only the buckets that it touches.
 
     Keys lie in buckets by the last bits of their hash. A bucket that may have grown beyond ``bucket_rows`` is
     split by further bits when it is rewritten, so the size of a bucket, and what one key costs, does not grow with the table.
+    The buckets of a batch share a bounded number of folders, so small buckets do not mean small files. A folder of which
+    less than half still counts is written anew with the batch, so at most as many rows lie idle as count.
     """
     now = table.snapshot()
     if now.contains(writer, batch_id):
@@ -88,8 +102,11 @@ def upsert_buckets(table: Table, batch: DataFrame, writer: str, batch_id: int, k
     newest = _placed(latest_state(batch, key), tiled, key).persist()
     try:
         touched = {(r[DEPTH], r[BUCKET]): r["n"] for r in newest.groupBy(DEPTH, BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most one row a part
+        if not touched:
+            return table.commit(now, applied=(writer, batch_id))
         old = [p for p in tiled.parts if (p.depth, p.bucket) in touched]
-        deeper = {(p.depth, p.bucket): max(0, math.ceil(math.log2((p.rows + touched[p.depth, p.bucket]) / bucket_rows))) for p in old}
+        old += _worn(tiled, set(old))
+        deeper = {(p.depth, p.bucket): max(0, math.ceil(math.log2(max(1, p.rows + touched.get((p.depth, p.bucket), 0)) / bucket_rows))) for p in old}
         held = table.read_parts(old)
         merged = merge_state(_placed(held, tiled, key), newest, key)
         if any(deeper.values()):
@@ -97,15 +114,16 @@ def upsert_buckets(table: Table, batch: DataFrame, writer: str, batch_id: int, k
             merged = merged.join(more, [DEPTH, BUCKET]).withColumn(DEPTH, (F.col(DEPTH) + F.col("_more")).cast("int"))
             merged = merged.drop("_more").withColumn(BUCKET, _bucket(key, F.col(DEPTH)))
         folder = table.folder()
-        columns = [*table.schema.fieldNames(), DEPTH, BUCKET]
-        merged.select(columns).repartition(DEPTH, BUCKET).write.partitionBy(DEPTH, BUCKET).parquet(f"{table.path}/{folder}")
+        share = F.concat_ws("-", F.least(DEPTH, F.lit(FOLDER_BITS)), F.col(BUCKET).bitwiseAND(F.lit((1 << FOLDER_BITS) - 1)))
+        shared = merged.select(*table.schema.fieldNames(), DEPTH, BUCKET, share.alias(_SHARE)).withColumn(FOLDER, F.concat(F.lit(f"{folder}/{_SHARE}="), _SHARE))
+        shared.hint("rebalance", _SHARE).sortWithinPartitions(_SHARE, DEPTH, BUCKET).write.partitionBy(_SHARE).parquet(f"{table.path}/{folder}")
     finally:
         newest.unpersist()
-    if not touched:
-        return table.commit(now, applied=(writer, batch_id))
-    new = {}
-    for part in table.measured(folder, [DEPTH, BUCKET], lambda r: Part(f"{folder}/{DEPTH}={r[DEPTH]}/{BUCKET}={r[BUCKET]}", depth=int(r[DEPTH]), bucket=int(r[BUCKET]))):
-        new[part.depth, part.bucket] = part
+    parts = table.measured(folder, [DEPTH, BUCKET, FOLDER], lambda r: Part(r[FOLDER], depth=int(r[DEPTH]), bucket=int(r[BUCKET])))
+    stored: dict[str, int] = defaultdict(int)
+    for part in parts:
+        stored[part.name] += part.rows
+    new = {(p.depth, p.bucket): replace(p, stored=stored[p.name]) for p in parts}
     for (depth, bucket), more in deeper.items():  # buckets that got no rows are kept in the manifest, so that they tile the hashes
         for k in range(1 << more):
             place = depth + more, bucket + (k << depth)

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from datetime import datetime
@@ -36,15 +37,22 @@ MANIFEST = (
     .add("high", T.TimestampType())
     .add("rows", T.LongType())
     .add("tag", T.StringType())
+    .add("stored", T.LongType())
     .add("writer", T.StringType())
     .add("batch_id", T.LongType())
 )
 PART_FIELDS = MANIFEST.fieldNames()[:-2]
+#: Columns of the rows in a folder that buckets share: its own name, and the bucket.
+FOLDER, DEPTH, BUCKET = "_folder", "_depth", "_bucket"
+SHARED = StructType().add(FOLDER, T.StringType()).add(DEPTH, T.IntegerType()).add(BUCKET, T.LongType())
 
 
 @dataclass(frozen=True)
 class Part:
-    """A live folder below the table; ``name`` is empty for a bucket without rows, ``tag`` the group that it holds alone."""
+    """A live folder below the table; ``name`` is empty for a bucket without rows, ``tag`` the group that it holds alone.
+
+    ``stored`` is how many rows lie in the folder where several buckets share it; then ``depth`` and ``bucket`` tell a part's rows.
+    """
 
     name: str
     level: int = 0
@@ -54,6 +62,7 @@ class Part:
     high: datetime | None = None
     rows: int = 0
     tag: str | None = None
+    stored: int | None = None
 
 
 @dataclass(frozen=True)
@@ -103,7 +112,7 @@ class Table:
         gone = set(drop)
         parts = [*[p for p in base.parts if p not in gone], *add]
         writers = dict(base.applied) | (dict([applied]) if applied else {})
-        rows = [(p.name, p.level, p.depth, p.bucket, p.low, p.high, p.rows, p.tag, None, None) for p in parts]
+        rows = [(p.name, p.level, p.depth, p.bucket, p.low, p.high, p.rows, p.tag, p.stored, None, None) for p in parts]
         rows += [(None,) * len(PART_FIELDS) + (writer, batch) for writer, batch in writers.items()]
         # A version that holds nothing must be told from one that was cut off while it was written.
         rows += [] if rows else [(None,) * len(PART_FIELDS) + ("", -1)]
@@ -130,10 +139,10 @@ class Table:
         return self.measured(folder, [], lambda row: Part(folder, level=level))
 
     def measured(self, folder: str, by: list[str], part: Callable[..., Part]) -> list[Part]:
-        """The parts of a folder that has just been written, with their rows and time ranges; one per value of ``by``, which are its partition columns."""
+        """The parts of a folder that has just been written, with their rows and time ranges; one per value of ``by``, which are its partition columns or those of SHARED."""
         schema = StructType([*self.schema.fields])
         for name in by:
-            schema = schema.add(name, T.StringType())
+            schema = schema.add(name, SHARED[name].dataType if name in SHARED.names else T.StringType())
         stats = [F.count(F.lit(1)).alias("rows"), *([F.min(self.time).alias("low"), F.max(self.time).alias("high")] if self.time else [])]
         rows = self.spark.read.schema(schema).parquet(f"{self.path}/{folder}").groupBy(*by).agg(*stats).collect()
         return [replace(part(r), rows=r["rows"], **({"low": r["low"], "high": r["high"]} if self.time else {})) for r in rows if r["rows"]]
@@ -144,10 +153,20 @@ class Table:
         return self.read_parts(p for p in snapshot.parts if keep(p))
 
     def read_parts(self, parts: Iterable[Part]) -> DataFrame:
-        paths = [f"{self.path}/{p.name}" for p in parts if p.name]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        """Rows of the parts. Of a folder that they share with parts that no longer count, or are not asked for, only theirs are kept."""
+        folders: dict[str, list[Part]] = defaultdict(list)
+        for part in parts:
+            if part.name:
+                folders[part.name].append(part)
+        whole = [name for name, its in folders.items() if its[0].stored is None or its[0].stored == sum(p.rows for p in its)]
+        some = {name: its for name, its in folders.items() if name not in set(whole)}
+        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{name}" for name in whole]) if whole else None
+        if some:
+            live = self.spark.createDataFrame([(p.name, p.depth, p.bucket) for its in some.values() for p in its], SHARED)
+            stored = self.spark.read.schema(StructType([*self.schema.fields, *SHARED.fields])).parquet(*[f"{self.path}/{name}" for name in some])
+            kept = stored.join(live, SHARED.fieldNames(), "left_semi").select(*self.schema.fieldNames())
+            rows = kept if rows is None else rows.unionByName(kept)
+        return self.spark.createDataFrame([], self.schema) if rows is None else rows
 
     def between(
         self, since: datetime | None = None, until: datetime | None = None, version: int | None = None, keep: Callable[[Part], bool] = lambda part: True

@@ -124,7 +124,7 @@ def bucketed_state_sink(root: str, group: str = "operational", bucket_rows: int
         table = Table(batch.sparkSession, f"{root}/buckets", batch.schema, "observed_at")
         upsert_buckets(table, batch, f"{group}/{run_of(batch)}", batch_id, bucket_rows=bucket_rows)
 
-    return _held(run)
+    return run
 
 
 def day_sink(root: str, group: str = "columnar") -> BatchSink:
@@ -133,4 +133,4 @@ def day_sink(root: str, group: str = "columnar") -> BatchSink:
     def run(batch: DataFrame, batch_id: int) -> None:
         append_days(Table(batch.sparkSession, f"{root}/days", batch.schema, "observed_at"), batch, f"{group}/{run_of(batch)}", batch_id)
 
-    return _held(run)
+    return run
