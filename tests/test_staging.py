@@ -73,3 +73,20 @@ def test_lake_rows_are_computed_as_often_as_they_are_placed(spark, observations,
     assert sorted(p.tag for p in table.snapshot().parts) == sorted(countries)
     assert stores.read_lake_parts(table, tags=["ÄÖ"]).filter(F.col("origin_country") == "ÄÖ").count() == 10
     assert seen.value <= 3 * 30  # borders may be sampled a second time where rows are uneven
+
+
+def test_a_piece_lies_in_many_files(spark):
+    """Arrivals in one task, in order, as a scan of a sorted table gives them: each piece is still read by several tasks."""
+    staged = stage(spark.range(0, 500_000, 1, 1).withColumnRenamed("id", "seq"), [0, 250_000])
+    assert all(len(piece.inputFiles()) >= 3 for piece in (staged.read(until=250_000), staged.read(250_000)))
+    assert staged.read().agg(F.count_distinct("seq")).first()[0] == 500_000
+
+
+def test_a_batch_of_files_is_read_again_not_kept(spark, observations, tmp_path, monkeypatch):
+    kept = []
+    monkeypatch.setattr(sinks, "append_raw", lambda batch, *a: kept.append(batch.storageLevel.useMemory))
+    monkeypatch.setattr(sinks, "upsert_state", lambda batch, *a: kept.append(batch.storageLevel.useMemory))
+    batch = observations({"event_id": "e"})
+    sinks.operational_sink(str(tmp_path), keep=False)(batch, 0)
+    sinks.operational_sink(str(tmp_path))(batch, 1)
+    assert kept == [False, False, True, True]

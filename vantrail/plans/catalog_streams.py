@@ -53,8 +53,10 @@ def batches(c: Case, path: str, schema) -> DataFrame:
     return tables.read_batches(c.spark, path, schema).drop(*tables.BATCH_KEYS)
 
 
-OPERATIONAL = {"operational": sinks.operational_sink}
-COLUMNAR = {"columnar": sinks.columnar_sink}
+# Staged arrivals are files: the sinks read them again instead of keeping them.
+OPERATIONAL = {"operational": partial(sinks.operational_sink, keep=False)}
+COUNTRY = {"operational": partial(sinks.operational_sink, rollups=("country",), keep=False)}
+COLUMNAR = {"columnar": partial(sinks.columnar_sink, keep=False)}
 LAKE = {"lake": sinks.lake_sink}
 
 
@@ -254,7 +256,7 @@ add("t6_replay_from_start", replayed_group, f"SELECT {SEEN} FROM raw")
 def late_rows(c: Case) -> DataFrame:
     """Rows far behind the newest observation, reversed in arrival."""
     late = c.feed.withColumn("seq", F.when(C("seq") % 3 == 0, C("seq") + 10**15).otherwise(C("seq")))
-    return rollup_final(c, run(c, {"operational": lambda root: sinks.operational_sink(root, rollups=("country",))}, late))
+    return rollup_final(c, run(c, COUNTRY, late))
 
 
 def rollup_final(c: Case, root: str) -> DataFrame:
@@ -285,23 +287,23 @@ add("d5_stream_dedupe", deduped_stream, "SELECT DISTINCT event_id, icao24 FROM f
 add("t9_stream_dedupe", lambda c: raw_table(c).select("event_id", "seq"), "SELECT event_id, seq FROM raw")
 add(
     "a8_maintain_rollup",
-    lambda c: rollup_final(c, run(c, {"operational": lambda root: sinks.operational_sink(root, rollups=("country",))})),
+    lambda c: rollup_final(c, run(c, COUNTRY)),
     country_hour("raw"),
 )
 add(
     "a8_maintain_rollup_new_checkpoint",
-    lambda c: rollup_final(c, run_with_new_checkpoint(c, {"operational": lambda root: sinks.operational_sink(root, rollups=("country",))})),
+    lambda c: rollup_final(c, run_with_new_checkpoint(c, COUNTRY)),
     country_hour("raw"),
 )
 add("t10_stream_rollups", lambda c: rollup_final(c, run(c, COLUMNAR)), country_hour("feed"))
 add(
     "t10_stream_rollups_airline",
-    lambda c: r.airline_hour_final(rollup(c, run(c, {"columnar": lambda root: sinks.columnar_sink(root, rollups=("airline",))}), "airline")),
+    lambda c: r.airline_hour_final(rollup(c, run(c, {"columnar": lambda root: sinks.columnar_sink(root, rollups=("airline",), keep=False)}), "airline")),
     airline_hour("feed"),
 )
 add(
     "t10_stream_rollups_grid",
-    lambda c: r.grid_final(rollup(c, run(c, {"columnar": lambda root: sinks.columnar_sink(root, rollups=("grid",))}), "grid")),
+    lambda c: r.grid_final(rollup(c, run(c, {"columnar": lambda root: sinks.columnar_sink(root, rollups=("grid",), keep=False)}), "grid")),
     grid_final("feed"),
 )
 

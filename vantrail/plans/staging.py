@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 from vantrail.session import shared_folder
 
 STEP = "step"
+#: Rows of a file at most. A file has few row groups, and only whole ones are shared out: a piece in few files is read by few tasks.
+FILE_ROWS = 100_000
 
 
 def steps(low: int, high: int, n: int) -> list[int]:
@@ -50,13 +52,13 @@ def ends(arrivals: DataFrame, seq: str = "seq") -> tuple[int, int]:
 
 
 def stage(arrivals: DataFrame, borders: Sequence[int], seq: str = "seq") -> Staged:
-    """Compute and write ``arrivals`` once, in pieces that begin at ``borders``; the first of them is the first arrival."""
+    """Compute and write ``arrivals`` once, in pieces that begin at ``borders``, each in many files; the first border is the first arrival."""
     spark, cuts = arrivals.sparkSession, tuple(sorted(set(borders)))
     path = shared_folder(spark, "landing")
     step = F.lit(0)
     for k, border in enumerate(cuts[1:], 1):
         step = F.when(F.col(seq) >= border, k).otherwise(step)
-    arrivals.withColumn(STEP, step).write.partitionBy(STEP).parquet(path)
+    arrivals.withColumn(STEP, step).write.option("maxRecordsPerFile", FILE_ROWS).partitionBy(STEP).parquet(path)
     for k in range(len(cuts)):  # a piece without arrivals is an empty folder
         _make_folder(spark, f"{path}/{STEP}={k}")
     return Staged(spark, path, arrivals.schema, cuts)

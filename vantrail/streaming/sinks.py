@@ -51,11 +51,12 @@ def state_sink(root: str, group: str = "operational") -> BatchSink:
     return lambda batch, batch_id: upsert_state(batch, f"{root}/state", batch_id, group)
 
 
-def operational_sink(root: str, group: str = "operational", rollups: tuple[str, ...] = ()) -> BatchSink:
+def operational_sink(root: str, group: str = "operational", rollups: tuple[str, ...] = (), keep: bool = True) -> BatchSink:
     """Raw insert by unseen id, and the state upsert on every arrival.
 
     Rollups listed here are built from the rows really inserted, so replays do
-    not inflate their sums.
+    not inflate their sums. ``keep=False`` reads the batch from its source for each
+    write, which for files costs less than keeping it.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -64,18 +65,18 @@ def operational_sink(root: str, group: str = "operational", rollups: tuple[str,
         for name in rollups:
             append_rollup(ROLLUPS[name](inserted, dedupe=False), f"{root}/rollup_{name}", batch_id, run_of(batch), group)
 
-    return _held(run)
+    return _held(run) if keep else run
 
 
-def columnar_sink(root: str, group: str = "columnar", rollups: tuple[str, ...] = ("country", "airline", "grid")) -> BatchSink:
-    """Append every delivery and add its partial rollup states, however late it is."""
+def columnar_sink(root: str, group: str = "columnar", rollups: tuple[str, ...] = ("country", "airline", "grid"), keep: bool = True) -> BatchSink:
+    """Append every delivery and add its partial rollup states, however late it is; ``keep`` as in ``operational_sink``."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         append_columnar(batch, f"{root}/columnar", batch_id, group)
         for name in rollups:
             append_rollup(ROLLUPS[name](batch, dedupe=False), f"{root}/rollup_{name}", batch_id, run_of(batch), group)
 
-    return _held(run) if rollups else run  # written once, a batch need not be kept
+    return _held(run) if rollups and keep else run  # written once, a batch need not be kept
 
 
 def outcome_sink(root: str, group: str = "poison") -> BatchSink:
