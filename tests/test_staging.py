@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from vantrail.operators.rollups import country_hour_final, country_hour_state
 from vantrail.plans.catalog import Case
 from vantrail.plans.catalog_stores import slices
 from vantrail.plans.staging import replay, stage
@@ -90,3 +91,15 @@ def test_a_batch_of_files_is_read_again_not_kept(spark, observations, tmp_path,
     sinks.operational_sink(str(tmp_path), keep=False)(batch, 0)
     sinks.operational_sink(str(tmp_path))(batch, 1)
     assert kept == [False, False, True, True]
+
+
+def test_a_rollup_state_is_shuffled_by_its_keys_only(spark, observations, tmp_path, monkeypatch):
+    """Neither a batch nor a merge of levels goes through a second shuffle before it is written."""
+    state = country_hour_state(observations(*[{"event_id": f"e{i}"} for i in range(10)]), dedupe=False)
+    hints, hint = [], type(state).hint
+    monkeypatch.setattr(type(state), "hint", lambda df, name, *a: hints.append(name) or hint(df, name, *a))
+    table = Table(spark, f"{tmp_path}/levels", state.schema, "hour")
+    for k in range(4):
+        stores.add_rollup(table, state, "w", k)
+    assert [p.level for p in table.snapshot().parts] == [1] and hints == []
+    assert country_hour_final(table.read()).count() == 1

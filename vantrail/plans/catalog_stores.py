@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
@@ -22,10 +23,10 @@ C = F.col
 SMALL_BUCKET = 40
 
 
-def slices(c: Case, n: int) -> list[DataFrame]:
-    """The feed as ``n`` batches in arrival order, computed and written once."""
+def slices(c: Case, n: int, columns: Sequence[str] = ("*",)) -> list[DataFrame]:
+    """The feed as ``n`` batches in arrival order, computed and written once; only ``columns``, with ``seq``."""
     cuts = steps(*ends(c.feed), n)
-    staged = stage(c.feed, cuts)
+    staged = stage(c.feed.select(*columns), cuts)
     return [staged.read(since, until) for since, until in zip(cuts, [*cuts[1:], None], strict=True)]
 
 
@@ -33,7 +34,7 @@ def many_batches(c: Case) -> DataFrame:
     """Twenty batches into a leveled rollup, the last one twice, and a merge of what is left."""
     sink, root = None, shared_folder(c.spark, "tables")
     sink = sinks.leveled_rollup_sink(root, rollups=("country",))
-    parts = slices(c, 20)
+    parts = slices(c, 20, ("seq", "icao24", "origin_country", "observed_at", *r.COUNTRY_INPUT))
     for k, batch in enumerate([*parts, parts[-1]]):
         sink(batch, min(k, 19))
     table = level_table(c, root, "country", r.country_hour_state(c.feed))

@@ -30,14 +30,16 @@ def add_rollup(table: Table, state: DataFrame, writer: str, batch_id: int, fanou
     A level holds fewer than ``fanout`` parts afterwards, so after n batches a reader opens at most (fanout - 1) * (log_fanout(n) + 1)
     of them, and each row is rewritten once per level.
     """
-    add_level(table, state, writer, batch_id, merge_states, fanout)
+    add_level(table, state, writer, batch_id, merge_states, fanout, even=True)
 
 
-def add_level(table: Table, rows: DataFrame, writer: str, batch_id: int, merge: Callable[[DataFrame], DataFrame], fanout: int = FANOUT) -> None:
-    """Add one batch as a part of the lowest level, once; full levels go through ``merge`` into the next."""
+def add_level(
+    table: Table, rows: DataFrame, writer: str, batch_id: int, merge: Callable[[DataFrame], DataFrame], fanout: int = FANOUT, even: bool = False
+) -> None:
+    """Add one batch as a part of the lowest level, once; full levels go through ``merge`` into the next. ``even`` as in ``Table.write``."""
     now = table.snapshot()
     if not now.contains(writer, batch_id):
-        now = table.commit(now, add=table.write(rows), applied=(writer, batch_id))
+        now = table.commit(now, add=table.write(rows, even=even), applied=(writer, batch_id))
     compact(table, now, fanout, merge)
 
 
@@ -52,7 +54,7 @@ def compact(table: Table, now: Snapshot | None = None, fanout: int = FANOUT, mer
         if not full:
             return now
         old = levels[full[0]]
-        now = table.commit(now, add=table.write(merge(table.read_parts(old)), full[0] + 1), drop=old)
+        now = table.commit(now, add=table.write(merge(table.read_parts(old)), full[0] + 1, even=True), drop=old)
 
 
 # ---- state -------------------------------------------------------------------------------------------------------

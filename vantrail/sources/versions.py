@@ -132,10 +132,13 @@ class Table:
     def folder(self) -> str:
         return f"data/{uuid.uuid4().hex}"
 
-    def write(self, df: DataFrame, level: int = 0) -> list[Part]:
-        """Rows as a new part, not yet committed; no part when there are none. Files get the session's advisory partition size."""
+    def write(self, df: DataFrame, level: int = 0, even: bool = False) -> list[Part]:
+        """Rows as a new part, not yet committed; no part when there are none. Files get the session's advisory partition size.
+
+        ``even`` rows come out of a shuffle by many keys, which sets the files; they are not shuffled again.
+        """
         folder = self.folder()
-        df.hint("rebalance").write.parquet(f"{self.path}/{folder}")
+        (df if even else df.hint("rebalance")).write.parquet(f"{self.path}/{folder}")
         return self.measured(folder, [], lambda row: Part(folder, level=level))
 
     def measured(self, folder: str, by: list[str], part: Callable[..., Part]) -> list[Part]:
