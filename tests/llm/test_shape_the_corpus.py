@@ -92,6 +92,28 @@ def test_words_turn_over(monkeypatch):
             assert np.frombuffer(data, "<u4").tolist() == ids.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_parts_of_words_are_encoded_once(monkeypatch):
+    """Words are put together from parts that other words had: capitals, marks, digits and endings make no new ones."""
+    ids = packing.WordIds(packing.default_tokenizer())
+    ids.of(["Alpha, beta. gamma! they'll 17"])
+    text = "beta,ALPHA! Gamma.beta THEY'LL7"
+    with monkeypatch.context() as m:
+        m.setattr(ids, "tokenizer", None)
+        m.setattr(ids, "plain", None, raising=False)
+        got = ids.of([text, ""])
+    want = ids.tokenizer.encode(text, add_special_tokens=False).ids
+    assert [np.frombuffer(data, "<u4").tolist() for data in got] == [want, []]
+
+
+def test_ids_of_any_characters():
+    """Each character beside letters, marks, digits and apostrophes, as the tokenizer has it."""
+    ids = packing.WordIds(packing.default_tokenizer())
+    odd = map(chr, [*range(0x2B0), 0x301, 0x345, 0x1680, *range(0x2000, 0x2030), 0x212B, 0x3000, 0x1F600])
+    texts = [f"a{c}b {c} {c}{c}X 's{c}t '{c}re 5{c}5 '{c} e{c}" for c in odd]
+    texts += ["don't we'll they'Re 've''s '''s <|endoftext|>x <|x", "'", "a'l", "x'r"]
+    assert [np.frombuffer(data, "<u4").tolist() for data in ids.of(texts)] == [ids.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @pytest.mark.parametrize("name", sorted(catalog.ORACLE))
 def test_queries_equal_sql(spark, name):
     assert difference(catalog.QUERIES[name](spark, SF), duck(SF), catalog.ORACLE[name]) is None

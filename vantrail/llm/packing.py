@@ -20,7 +20,7 @@ that repeat a doc_id are packed each, ``row`` tells them apart; an empty table g
 
 from __future__ import annotations
 
-import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -28,6 +28,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from vantrail.llm.words import slices
@@ -35,12 +36,10 @@ from vantrail.session import spool
 
 CAPACITY = 4096
 END = 1
-#: Words whose ids a worker remembers, twice over; it keeps them from task to task, beside whatever the next stage needs.
-REMEMBERED = 150_000
-#: Marks that are a piece of their own behind letters, and the first letter beyond those whose small form is one letter in normal form.
-MARKS = ".,;:!?"
+#: Parts of words whose ids a worker remembers, about 50 bytes each; it keeps them from task to task, beside whatever the next stage needs.
+REMEMBERED = 500_000
+#: The first letter beyond those whose small form is mostly one letter in normal form.
 SIMPLE = "\u0250"
-_UNLIKE = re.compile(r"[\S\x1c-\x1f]+")
 #: Rounds of pricing, and how fast the weight of a covered length falls.
 ROUNDS = 100
 RATE = 1.0
@@ -53,66 +52,124 @@ SLICE_ROWS = 200_000
 _PIECES = "doc_id long, row long, piece int, start long, length int, ids_crc32 long"
 
 
+SPACE, LETTER, NUMBER, OTHER, ODD = range(5)
+
+
+@cache
+def _characters() -> tuple[np.ndarray, np.ndarray]:
+    """The kind of every character, and the small form of those below SIMPLE. Characters are odd whose small or normal form is not one simple character."""
+    kinds, small = np.full(0x110000, ODD, np.uint8), np.arange(ord(SIMPLE), dtype="<u4")
+    for c in range(len(small)):
+        low, category = chr(c).lower(), unicodedata.category(chr(c))
+        if len(low) == 1 and low < SIMPLE:
+            small[c] = ord(low)
+            kinds[c] = LETTER if category[0] == "L" else NUMBER if category[0] == "N" else OTHER
+    kinds[[*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]] = SPACE
+    return kinds, small
+
+
+def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs ``data[start:start + size]`` one after the other."""
+    ends = np.cumsum(sizes)
+    return data[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)]
+
+
 class WordIds:
-    """Ids of white-space free words as little-endian bytes, remembered.
+    """Ids of texts, put together from the ids of their parts, which are remembered.
 
-    The tokenizer drops white space and none of its rules crosses it, so the ids of a text are
-    those of its words one after the other; a plain word with capitals or a mark behind it is
-    put together from its parts. Two generations of words are kept: when the
-    younger is full it becomes the older, and words still in use come back from there.
+    The tokenizer drops white space and none of its rules crosses it, and it cuts simple words into runs of letters, single
+    digits and runs of other characters, besides seven endings after an apostrophe, before it merges; so the ids of a text are those of
+    these parts one after the other. Words with a character beyond SIMPLE, or with what may begin a special token, are parts as they stand. Parts
+    and ids lie in flat arrays, the last used first; a text's parts are found through Arrow dictionaries, not one by one.
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def learn(self, words: set[str], may_turn: bool = True) -> None:
-        if may_turn and len(self.young) + len(words) > REMEMBERED:
-            self.old, self.young = self.young, {}
-        known, composed, fresh = self.young, [], set()
-        for w in words:
-            if w in self.old:
-                known[w] = self.old[w]
-            elif w not in known:
-                core = w[:-1] if w[-1] in MARKS else w
-                low = core.lower()
-                if low != w and low.isalpha() and len(low) == len(core) and max(low) < SIMPLE:
-                    composed.append((w, low, w[len(core) :]))
-                    for x in (low, w[len(core) :]):
-                        if x and x not in known:
-                            if x in self.old:
-                                known[x] = self.old[x]
-                            else:
-                                fresh.add(x)
-                else:
-                    fresh.add(w)
-        if fresh:  # as one text; the places of the ids tell the words
-            ordered = list(fresh)
-            coded = self.tokenizer.encode(" ".join(ordered), add_special_tokens=False)
-            ids = np.array(coded.ids, "<u4")
-            at = np.fromiter((a for a, _ in coded.offsets), np.int64, len(ids))
-            starts = np.cumsum([0, *(len(w) + 1 for w in ordered)])
-            cuts = (np.searchsorted(at, starts) * 4).tolist()
-            data = ids.tobytes()
-            for w, a, b in zip(ordered, cuts[:-1], cuts[1:], strict=True):
-                known[w] = data[a:b]
-        for w, low, mark in composed:
-            known[w] = known[low] + known[mark] if mark else known[low]
+        from tokenizers import Tokenizer, normalizers
+
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])  # simple parts are in normal form
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts = pa.array([], pa.large_string())
+        self.starts, self.sizes, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _encode_simple(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of simple parts, and how many each has: a part ends where a token ends a word."""
+        ids = np.array(self.plain.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(parts):
+            raise ValueError("the tokenizer cuts words in another way")
+        return ids, np.diff(ends, prepend=0)
+
+    def _encode_odd(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of any characters: the places of the ids tell the words."""
+        coded = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        ids = np.array(coded.ids, "<u4")
+        at = np.fromiter((a for a, _ in coded.offsets), np.int64, len(ids))
+        return ids, np.diff(np.searchsorted(at, np.cumsum([0, *(len(w) + 1 for w in words)])))
+
+    def _learn(self, parts: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids, and where those of each part begin and how many they are. The parts come first in the memory from now on."""
+        place = pc.fill_null(pc.index_in(parts, value_set=self.parts), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        known = place >= 0
+        starts, sizes, data, end = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64), [self.ids], len(self.ids)
+        starts[known], sizes[known] = self.starts[place[known]], self.sizes[place[known]]
+        for fresh, encode in ((~known & ~odd, self._encode_simple), (~known & odd, self._encode_odd)):
+            if fresh.any():
+                ids, n = encode(parts.filter(pa.array(fresh)).to_pylist())
+                starts[fresh], sizes[fresh] = end + np.cumsum(n) - n, n
+                data.append(ids)
+                end += len(ids)
+        ids = np.concatenate(data)
+        unused = np.ones(len(self.parts), bool)
+        unused[place[known]] = False
+        unused = np.flatnonzero(unused)[: max(0, REMEMBERED - len(parts))]
+        self.parts = pa.concat_arrays([parts[:REMEMBERED], self.parts.take(pa.array(unused))])
+        first, self.sizes = np.concatenate([starts[:REMEMBERED], self.starts[unused]]), np.concatenate([sizes[:REMEMBERED], self.sizes[unused]])
+        self.ids, self.starts = _gather(ids, first, self.sizes), np.cumsum(self.sizes) - self.sizes
+        return ids, starts, sizes
 
     def of(self, texts: list[str]) -> list[bytes]:
-        # str.split() also cuts at four control characters that are no white space for the tokenizer
-        split = [_UNLIKE.findall(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        known = self.young
-        missing = {w for words in split for w in words if w not in known}
-        if missing:
-            self.learn(missing)
-            if self.young is not known:  # a new generation has begun
-                self.learn(set().union(*split).difference(self.young), may_turn=False)
-        get = self.young.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        kinds, small = _characters()
+        chars = np.frombuffer(" ".join([*texts, "   "]).encode("utf-32-le"), "<u4")  # spaces behind the last text, for the looks ahead
+        kind = kinds[chars]
+        kind[:-1][(chars[:-1] == ord("<")) & (chars[1:] == ord("|"))] = ODD
+        low = small[np.minimum(chars, len(small) - 1)]
+        before = np.concatenate([[np.uint8(SPACE)], kind[:-1]])
+        inside = kind != SPACE
+        begins = inside & ((kind != before) | (kind == NUMBER))
+        quotes = np.flatnonzero((chars == ord("'")) & (before != OTHER) & (before != ODD))
+        one, two = low[quotes + 1], low[quotes + 2]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = ((np.isin(one, [ord("r"), ord("v")])) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+        begins[quotes[short | long] + 1] = False
+        for there, size in ((short, 2), (long, 3)):
+            behind = quotes[there] + size
+            begins[behind] = inside[behind]
+        odd = np.zeros(len(chars), bool)
+        if (kind == ODD).any():
+            words = np.flatnonzero(inside & (before == SPACE))
+            strange = np.logical_or.reduceat(kind == ODD, words)
+            odd = inside & np.repeat(np.concatenate([[False], strange]), np.diff(np.concatenate([[0], words, [len(chars)]])))
+            begins[odd] = False
+            begins[words[strange]] = True
+            low[odd] = chars[odd]
+        at = np.flatnonzero(begins)
+        low = low[inside]
+        bytes_before = np.concatenate([[0], np.cumsum(1 + (low >= 0x80) + (low >= 0x800) + (low >= 0x10000), dtype=np.int64)])
+        borders = bytes_before[np.concatenate([np.flatnonzero(begins[inside]), [len(low)]])]
+        data = low.tobytes().decode("utf-32-le").encode()
+        parts = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(borders), pa.py_buffer(data)).dictionary_encode()
+        codes = parts.indices.to_numpy()
+        strange = np.zeros(len(parts.dictionary), bool)
+        strange[codes] = odd[at]
+        ids, starts, sizes = self._learn(parts.dictionary, strange)
+        n = sizes[codes]
+        coded = memoryview(_gather(ids, starts[codes], n).tobytes())
+        first = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        cuts = (4 * np.concatenate([[0], np.cumsum(n)])[np.searchsorted(at, first)]).tolist()
+        return [bytes(coded[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 @cache
